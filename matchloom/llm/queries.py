@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .bpe_transducer import op10_bpe_transducer
 from .quality_rules import op8_quality_rules
 
 QUERIES = {
     "op8_quality_rules": op8_quality_rules,
+    "op10_bpe_transducer": op10_bpe_transducer,
 }
 
 ORACLE_SQL: dict[str, str] = {}
