@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from .bpe_transducer import op10_bpe_transducer
+from .license_scan import op9_license_scan
 from .quality_rules import op8_quality_rules
+from .source_mix import OP6_SQL, op6_source_mix
 
 QUERIES = {
+    "op6_source_mix": op6_source_mix,
     "op8_quality_rules": op8_quality_rules,
+    "op9_license_scan": op9_license_scan,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_source_mix": OP6_SQL,
+}
