@@ -6,8 +6,10 @@ from .bpe_transducer import op10_bpe_transducer
 from .license_scan import op9_license_scan
 from .quality_rules import op8_quality_rules
 from .source_mix import OP6_SQL, op6_source_mix
+from .url_filter import OP1_SQL, op1_url_filter
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op6_source_mix": op6_source_mix,
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scan": op9_license_scan,
@@ -15,5 +17,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": OP1_SQL,
     "op6_source_mix": OP6_SQL,
 }
