@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe_transducer import op10_bpe_transducer
 from .exact_topk import OP2_SQL, op2_exact_topk
 from .license_scan import op9_license_scan
+from .minhash_dedup import op5_minhash_dedup
 from .quality_rules import op8_quality_rules
 from .source_mix import OP6_SQL, op6_source_mix
 from .url_filter import OP1_SQL, op1_url_filter
@@ -12,6 +13,7 @@ from .url_filter import OP1_SQL, op1_url_filter
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_topk": op2_exact_topk,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_source_mix": op6_source_mix,
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scan": op9_license_scan,
