@@ -9,10 +9,12 @@ from .minhash_dedup import op5_minhash_dedup
 from .quality_rules import op8_quality_rules
 from .source_mix import OP6_SQL, op6_source_mix
 from .url_filter import OP1_SQL, op1_url_filter
+from .warc_fixity import OP4_SQL, op4_warc_fixity
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_topk": op2_exact_topk,
+    "op4_warc_fixity": op4_warc_fixity,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_source_mix": op6_source_mix,
     "op8_quality_rules": op8_quality_rules,
@@ -23,5 +25,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": OP1_SQL,
     "op2_exact_topk": OP2_SQL,
+    "op4_warc_fixity": OP4_SQL,
     "op6_source_mix": OP6_SQL,
 }
