@@ -9,12 +9,14 @@ from .line_templates import op7_line_templates
 from .minhash_dedup import op5_minhash_dedup
 from .quality_rules import op8_quality_rules
 from .source_mix import OP6_SQL, op6_source_mix
+from .suffix_tree_lm import op3_suffix_tree_lm
 from .url_filter import OP1_SQL, op1_url_filter
 from .warc_fixity import OP4_SQL, op4_warc_fixity
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_topk": op2_exact_topk,
+    "op3_suffix_tree_lm": op3_suffix_tree_lm,
     "op4_warc_fixity": op4_warc_fixity,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_source_mix": op6_source_mix,
