@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Vocabulary size, results a query, and n-gram lengths.
 MAX_FEATURES, TOP_K, LENGTHS = 15000, 5, (3, 4)
+#: Targets in a dense block, and queries broadcast at once.
+BLOCK, PASS = 256, 20000
 
 
 def _grams(texts: DataFrame) -> DataFrame:
@@ -47,10 +51,66 @@ def _weighted(grams: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return _unit(grams.join(vocabulary, "term").select("id", "term", ((1 + F.log(F.col("tf").cast("double"))) * F.col("idf")).alias("w")))
 
 
+def _packed(weights: DataFrame, places: dict[str, int]) -> DataFrame:
+    """(id, terms, ws): each text's weights as arrays, terms by their place in the vocabulary."""
+    table = weights.sparkSession.createDataFrame(list(places.items()), "term string, place int")
+    rows = weights.join(F.broadcast(table), "term").groupBy("id").agg(F.collect_list(F.struct("place", "w")).alias("x"))
+    return rows.select("id", F.col("x.place").alias("terms"), F.col("x.w").alias("ws"))
+
+
+class _Best:
+    """The best k targets of each query over blocks of targets."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.floor = k, np.zeros(n)
+        self.q, self.s, self.ids = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, object)
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        q, c = np.nonzero((scores >= self.floor[:, None]) & (scores > 0))
+        q, s, names = np.concatenate([self.q, q]), np.concatenate([self.s, scores[q, c]]), np.concatenate([self.ids, ids[c]])
+        rank = np.unique(names.astype(str), return_inverse=True)[1] if len(names) else np.zeros(0, np.int64)
+        order = np.lexsort((rank, -s, q))
+        place = np.arange(len(order)) - np.searchsorted(q[order], q[order], side="left")
+        keep = order[place < self.k]
+        self.q, self.s, self.ids = q[keep], s[keep], names[keep]
+        last = np.flatnonzero(place[place < self.k] == self.k - 1)
+        self.floor[self.q[last]] = self.s[last]
+
+
 def top_k(queries: DataFrame, targets: DataFrame, k: int = TOP_K, max_features: int = MAX_FEATURES) -> DataFrame:
-    """(s1_id, cand_id, cosine, rank): the best targets of each query (id, text) with a common term, ties by id."""
+    """(s1_id, cand_id, cosine, rank): the best targets of each query (id, text) with a common term, ties by id.
+
+    Scores come from products of blocks: targets stay where they are as dense blocks over
+    the vocabulary (its size is a parameter), queries are broadcast in passes of PASS
+    rows. Rows of pairs that share a term are never made, however common the term.
+    """
+    spark = targets.sparkSession
     vocabulary, index = fit(targets, max_features)
-    asked = _weighted(_grams(queries), vocabulary).select(F.col("id").alias("s1_id"), "term", F.col("w").alias("wq"))
-    scores = asked.join(index.withColumnRenamed("id", "cand_id"), "term").groupBy("s1_id", "cand_id").agg(F.round(F.sum(F.col("wq") * F.col("w")), 9).alias("cosine"))
+    known = vocabulary.collect()
+    places = {r["term"]: i for i, r in enumerate(known)}
+    idf = spark.createDataFrame([(r["term"], r["idf"]) for r in known], "term string, idf double")
+    asked = _packed(_weighted(_grams(queries), idf), places).persist()
+    passes = max(1, -(-asked.count() // PASS))
+    packed, width, found = _packed(index, places), len(places), None
+    for p in range(passes):
+        own = [(r["id"], np.array(r["terms"], np.int64), np.array(r["ws"])) for r in asked.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p).toLocalIterator()]
+        shipped = spark.sparkContext.broadcast(own)
+
+        def run(batches, shipped=shipped):
+            rows = shipped.value
+            best = _Best(len(rows), k)
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK):
+                    part = batch.slice(at, BLOCK).to_pydict()
+                    dense = np.zeros((width, len(part["id"])))
+                    for c, (terms, ws) in enumerate(zip(part["terms"], part["ws"])):
+                        dense[terms, c] = ws
+                    scores = np.stack([ws @ dense[terms] for _, terms, ws in rows]) if rows else np.zeros((0, len(part["id"])))
+                    best.add(np.round(scores, 9), np.array(part["id"], object))
+            names = np.array([i for i, _, _ in rows], object)
+            yield pa.RecordBatch.from_arrays([pa.array(names[best.q].tolist(), pa.string()), pa.array(best.ids.tolist(), pa.string()), pa.array(best.s)], names=["s1_id", "cand_id", "cosine"])
+
+        part = packed.mapInArrow(run, "s1_id string, cand_id string, cosine double")
+        found = part if found is None else found.unionByName(part)
     order = W.partitionBy("s1_id").orderBy(F.desc("cosine"), "cand_id")
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -95,7 +95,7 @@ def url_domain_strip(spark, sf_dir):
 def _view(name: str, column: str, sql: str, spark_column=None):
     @_query(name, O.query(f"SELECT entity_id, {sql} AS {column} FROM rec"))
     def view(spark, sf_dir):
-        return Linkage(spark, sf_dir).records().select("entity_id", (spark_column if spark_column is not None else F.col(column)).alias(column))
+        return Linkage(spark, sf_dir).records().select("entity_id", (spark_column or F.col)(column).alias(column))
 
     return view
 
@@ -104,9 +104,9 @@ def _register_views():
     for name, column in (("name_basic", "basic"), ("name_legal", "legal"), ("compact", "compact"), ("addr_basic", "addr"), ("addr_compact", "addr_compact"), ("addr_postal", "postal"), ("addr_house", "house"), ("addr_state", "state")):
         _view(name, column, column)
     for name, column in (("tokens", "tokens"), ("addr_tokens", "addr_tokens")):
-        _view(name, column, f"array_to_string({column}, '|')", F.array_join(F.col(column), "|"))
+        _view(name, column, f"array_to_string({column}, '|')", lambda c: F.array_join(c, "|"))
     for name, column in (("ngrams3", "ngrams"), ("addr_ngrams3", "addr_ngrams")):
-        _view(name, column, f"array_to_string(list_sort({column}), '|')", F.array_join(F.array_sort(F.col(column)), "|"))
+        _view(name, column, f"array_to_string(list_sort({column}), '|')", lambda c: F.array_join(F.array_sort(c), "|"))
     for rule in range(1, 7):
         _block(rule)
 
