@@ -15,9 +15,10 @@ are never shuffled. Per pass only each partition's best k a query move.
 
 Cases: vectors that are null or hold null or non-finite components, and rows without an
 id, take no part; vectors meet vectors of their own length only (empty ones score 0);
-ties go to the smaller vec_id; of several rows with a query's id the smallest vector is
+ties go to the smaller vec_id; scores beyond 64 bits saturate
+before they are ranked; of several rows with a query's id the smallest vector is
 the query, and no row with that id is its candidate; other repeated rows each take a
-rank; scores beyond 64 bits saturate; empty tables give empty results; extra columns are
+rank; empty tables give empty results; extra columns are
 ignored.
 """
 
@@ -64,6 +65,7 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_i
     if dims == 0 or vertical.dtype == object or queries.dtype == object:
         queries, vertical = _exact(queries, vertical, dims)
         full = queries.dot(vertical) if dims else np.zeros((len(queries), vertical.shape[1]))
+        full = np.clip(full, _MIN, _MAX) if full.dtype == object else full  # saturated before ranking
         q, c = np.nonzero((full >= floors[:, None]) & (q_ids[:, None] != c_ids[None, :]))
         return q, c, full[q, c]
     # Mass left after each block of dimensions; rounded up a little, as bounds must not be too low.
@@ -131,7 +133,9 @@ class Search:
             counts = np.bincount(self.q, minlength=len(self.ids))
             last = np.cumsum(counts) - 1
             full = counts >= self.k
-            self.floors[full] = np.maximum(self.floors[full], self.s[last[full]].astype(float))
+            lowest = self.s[last[full]]
+            below = np.nextafter(lowest.astype(float), -np.inf) if lowest.dtype == object else lowest
+            self.floors[full] = np.maximum(self.floors[full], below)
 
 
 def _valid(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
