@@ -6,15 +6,17 @@
    all later steps work on classes, so exact copies cost nothing however many there are.
 2. Banding: classes that agree in all ROWS minima of some band share a bucket. A pair at
    the threshold 0.85 is missed by all bands with probability 7e-9.
-3. Buckets are never expanded into all pairs. PIVOT_ROUNDS rounds pair a bucket's members
-   with one pivot each (a min-aggregate), verify these pairs, and find components. Only
-   buckets whose members are in several components go on.
-4. What is left is compared exactly once in blocks of BLOCK members: inside a task, pairs
-   in different components whose signatures agree well enough are emitted, others not.
-   The signature test dismisses a true link with probability below 1e-6.
-5. A pair is verified by its signatures first, then confirmed on the full sets: only the
-   texts in such pairs are shingled again and sent.
-6. Components by alternating large-star and small-star.
+3. Buckets are never expanded into all pairs. Each class is compared, by signature, with
+   its buckets' pivot (a min-aggregate); classes at CLOSE or more join the pivot's family,
+   and families are components of these pairs. Buckets that hold several families are
+   looked through in blocks inside tasks, and two families are joined if any two of their
+   classes agree well enough to be linked (the test dismisses a true link with
+   probability below 1e-6). So every possible link is inside one family.
+4. Families are confirmed exactly: their texts are shingled again, dealt to blocks of
+   about BLOCK classes (or BLOCK_SHINGLES shingles), and each pair of blocks is one task
+   that gets all intersection sizes from products of incidence matrices. It returns a
+   spanning set of its links, at most one row a class, however many pairs are linked.
+5. Components by alternating large-star and small-star.
 
 Classes are told apart by 64 bits of their digest, shingles by 64 bits.
 
@@ -39,8 +41,8 @@ from .textvec import LOWER, U64, mix, owner, slices, windows, words
 BANDS, ROWS = 32, 5
 #: Two sets are linked when 100 * |A & B| >= PERCENT * |A | B|; WORDS words make a shingle.
 PERCENT, WORDS = 85, 3
-PIVOT_ROUNDS = 2
-BLOCK = 2048
+CLOSE = 0.6
+BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 21, 4096
 #: Signature agreement is a mean of BANDS * ROWS draws; so many standard deviations are allowed for.
 DEVIATIONS = 5.0
 
@@ -133,90 +135,126 @@ def _least_agreement(percent: int) -> int:
     return int(np.floor(_N * (j - DEVIATIONS * np.sqrt(j * (1 - j) / _N))))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """The pairs (u, v) of classes whose full sets are similar enough."""
-    least = _least_agreement(percent)
+def _close_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): classes whose signature agrees with their bucket's pivot in CLOSE of all places or more."""
+    least = int(CLOSE * _N)
 
     def agree(batches):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(batch.num_rows, _N) for i in (2, 3))
-            m, k = (batch.column(i).to_numpy().astype(np.float64) for i in (4, 5))
-            ok = ((a == b).sum(axis=1) >= least) & (100 * np.minimum(m, k) >= percent * np.maximum(m, k))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array((a == b).sum(axis=1) >= least))
 
-    sig = classes.select(F.col("class").alias("c"), "sig", "n_shingles")
-    left = sig.select(F.col("c").alias("u"), F.col("sig").alias("su"), F.col("n_shingles").alias("nu"))
-    right = sig.select(F.col("c").alias("v"), F.col("sig").alias("sv"), F.col("n_shingles").alias("nv"))
-    likely = stored(pairs.join(left, "u").join(right, "v").select("u", "v", "su", "sv", "nu", "nv").mapInArrow(agree, "u long, v long"))
+    pivots = buckets.groupBy("key").agg(F.min("class").alias("pivot"))
+    pairs = buckets.join(pivots, "key").where("class <> pivot").select(F.col("class").alias("u"), F.col("pivot").alias("v")).distinct()
+    left, right = (classes.select(F.col("class").alias(c), F.col("sig").alias(f"s{c}")) for c in "uv")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "su", "sv").mapInArrow(agree, "u long, v long")
 
-    # One text of each class in a likely pair is shingled again.
-    wanted = likely.select(F.col("u").alias("class")).unionByName(likely.select(F.col("v").alias("class"))).distinct()
-    chosen = classes.join(wanted, "class", "left_semi").select("class", F.col("_id").alias("chosen"))
 
-    def again(batches):
-        for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                runs, offs = shingle_sets(part.column(1), n)
-                ids = _class_ids(runs, offs).view(np.int64)
-                right_one = ids == part.column(0).to_numpy()  # rows may share an id
-                sets = [runs[offs[i] : offs[i + 1]].tobytes() for i in range(len(ids))]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sets, pa.binary())], names=["class", "shingles"]).filter(pa.array(right_one))
+def _families(edges: DataFrame) -> DataFrame:
+    """(class, family) of the classes in any pair."""
+    return stored(connected_components(edges)).select(F.col("node").alias("class"), F.col("component").alias("family"))
 
-    texts = docs.select(F.col(id_col).alias("_own"), F.col(text_col).cast("string").alias("text"))
-    picked = texts.join(chosen, F.col("_own").eqNullSafe(F.col("chosen"))).select("class", "text")
-    sets = stored(picked.mapInArrow(again, "class long, shingles binary").dropDuplicates(["class"]))
-
-    def confirm(batches):
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    one = sets.select(F.col("class").alias("u"), F.col("shingles").alias("a"))
-    two = sets.select(F.col("class").alias("v"), F.col("shingles").alias("b"))
-    return stored(likely.join(one, "u").join(two, "v").select("u", "v", "a", "b").mapInArrow(confirm, "u long, v long"))
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows with class and blocks, once for each pair (i, j) of blocks that theirs (own) is in."""
+    spread = rows.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return spread.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "blocks")
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
-
-def _labelled(buckets: DataFrame, components: DataFrame) -> DataFrame:
-    """Buckets (key, class, comp) whose members are in more than one component."""
-    now = buckets.drop("comp").join(components.select(F.col("node").alias("class"), F.col("component").alias("comp")), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
-    return stored(now.drop("size").join(mixed, "key"))
-
-
-def _blocked_pairs(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of different components in the buckets, compared block by block inside tasks."""
-    least = _least_agreement(percent)
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = buckets.join(classes.select("class", "sig"), "class").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "comp", "sig")
+def _across(buckets: DataFrame, families: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(u, v): two classes for each two families that share a bucket and may hold a link."""
+    j = percent / 100
+    least = int(np.floor(_N * (j - DEVIATIONS * np.sqrt(j * (1 - j) / _N))))
+    named = buckets.select("key", "class").join(families, "class", "left").withColumn("family", F.coalesce("family", "class"))
+    several = named.groupBy("key").agg(F.min("family").alias("lo"), F.max("family").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    rows = named.join(several.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key").join(classes.select("class", "sig"), "class")
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        own, comp, who = (table.column(c).to_numpy() for c in ("own", "comp", "class"))
+        own, family, who = (table.column(c).to_numpy() for c in ("own", "family", "class"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint32).reshape(len(who), _N)
         small = (sig & np.uint32(0xFF)).astype(np.uint8)
-        us, vs = [], []
+        seen: dict = {}
         rows, columns = np.flatnonzero(own == i), np.flatnonzero(own == j)
         for x in rows:
             ys = columns[columns > x] if i == j else columns
-            ys = ys[comp[ys] != comp[x]]
+            ys = ys[family[ys] != family[x]]
             if len(ys):
-                ys = ys[(small[ys] == small[x]).sum(axis=1) >= least]
-                us.append(np.full(len(ys), who[x]))
-                vs.append(who[ys])
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"u": pa.array(np.concatenate(us or none), pa.int64()), "v": pa.array(np.concatenate(vs or none), pa.int64())})
+                for y in ys[(small[ys] == small[x]).sum(axis=1) >= least]:
+                    seen.setdefault((min(family[x], family[y]), max(family[x], family[y])), (who[x], who[y]))
+        return pa.table({"u": pa.array([int(u) for u, _ in seen.values()], pa.int64()), "v": pa.array([int(v) for _, v in seen.values()], pa.int64())})
 
-    return _ordered(spread.groupBy("key", "i", "j").applyInArrow(compare, "u long, v long"))
+    return _dealt(rows).groupBy("key", "i", "j").applyInArrow(compare, "u long, v long").distinct()
+
+
+def _shingled(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """(class, shingles) of these classes (class, _id), from one text of each."""
+
+    def again(batches):
+        for batch in batches:
+            for part in slices(batch, "text", 2 << 20):
+                runs, offs = shingle_sets(part.column(1), n)
+                ids = _class_ids(runs, offs).view(np.int64)
+                right_one = ids == part.column(0).to_numpy()  # rows may share an id
+                sets = [runs[offs[i] : offs[i + 1]].tobytes() for i in range(len(ids))]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sets, pa.binary())], names=["class", "shingles"]).filter(pa.array(right_one))
+
+    texts = docs.select(F.col(id_col).alias("_own"), F.col(text_col).cast("string").alias("text"))
+    picked = texts.join(classes.select("class", "_id"), F.col("_own").eqNullSafe(F.col("_id"))).select("class", "text")
+    return picked.mapInArrow(again, "class long, shingles binary").dropDuplicates(["class"])
+
+
+def spanning_links(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int) -> np.ndarray:
+    """For every set of a (then of b), the index of the least set it is linked to, over any steps, by links in a or between a and b."""
+    sets = a + (b or [])
+    sizes = np.array([len(x) for x in sets])
+    every = np.concatenate(sets)
+    _, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
+    column = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[inverse]  # a shingle of one set meets nothing
+    row = np.repeat(np.arange(len(sets)), sizes)
+    both = np.zeros((len(a), len(b) if b else len(a)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    for first in range(0, int((counts > 1).sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, [first, first + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        part[row[lo:hi], column[lo:hi] - first] = 1
+        both += part[: len(a)] @ (part[len(a) :] if b else part).T
+    one, two = sizes[: len(a)], sizes[len(a) :] if b else sizes
+    link = 100 * both.astype(np.float64) >= percent * (one[:, None] + two[None, :] - both)
+    label, far = np.arange(len(sets)), len(sets)
+    while True:
+        x, y = (label[: len(a)], label[len(a) :]) if b else (label, label)
+        x = np.minimum(x, np.where(link, y[None, :], far).min(axis=1))
+        y = np.minimum(y, np.where(link, x[:, None], far).min(axis=0))
+        new = np.concatenate([x, y]) if b else np.minimum(x, y)
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _confirmed(families: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """(u, v): links that span each family's components, confirmed on the full sets."""
+    members = classes.select("class", "_id", "n_shingles").join(families, "class")
+    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    sets = _shingled(members, docs, id_col, text_col, n)
+    rows = _dealt(members.join(sizes, "family").select("class", "family", "blocks").join(sets, "class"))
+
+    def confirm(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("own", "ascending"), ("class", "ascending")])
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        own, who = table.column("own").to_numpy(), table.column("class").to_numpy()
+        found = [np.frombuffer(x, U64) for x in table.column("shingles").to_pylist()]
+        cut = int(np.searchsorted(own, i, side="right"))
+        label = np.arange(len(who))
+        if i == j:
+            label = spanning_links(found, None, percent)
+        elif 0 < cut < len(who):
+            label = spanning_links(found[:cut], found[cut:], percent)
+        moved = label != np.arange(len(who))
+        return pa.table({"u": pa.array(who[moved], pa.int64()), "v": pa.array(who[label[moved]], pa.int64())})
+
+    return stored(rows.select("family", "i", "j", "own", "class", "shingles").groupBy("family", "i", "j").applyInArrow(confirm, "u long, v long"))
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -224,28 +262,16 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     sketch = stored(sketched(docs, id_col, text_col, n))
     classes = stored(sketch.where("class is not null").groupBy("class").agg(F.min(id_col).alias("_id"), F.any_value("sig").alias("sig"), F.any_value("n_shingles").alias("n_shingles")))
     bands = _bands(classes)
-    shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = stored(bands.join(shared, "key").withColumn("comp", F.col("class")))
-
+    shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    buckets = stored(bands.join(shared, "key"))
     maybe = stored(classes.join(buckets.select("class").distinct(), "class", "left_semi"))  # in any shared bucket
 
-    edges = components = done = None
-    for r in range(PIVOT_ROUNDS + 1):
-        if r < PIVOT_ROUNDS:
-            by = F.col("class") if r == 0 else F.xxhash64("class", F.lit(r))
-            pivots = buckets.groupBy("key").agg(F.min_by("class", by).alias("pivot"), F.min_by("comp", by).alias("pivot_comp"))
-            pairs = buckets.join(pivots, "key").where("comp <> pivot_comp").select(F.col("class").alias("u"), F.col("pivot").alias("v"))
-            pairs = _ordered(pairs)
-        else:
-            pairs = _blocked_pairs(buckets, maybe, percent)
-        pairs = pairs.join(done, ["u", "v"], "left_anti") if done is not None else pairs
-        pairs = stored(pairs)
-        done = pairs if done is None else stored(done.unionByName(pairs))
-        found = _verified(pairs, maybe, docs, id_col, text_col, n, percent)
-        edges = found if edges is None else stored(edges.unionByName(found))
-        components = stored(connected_components(edges))
-        if r < PIVOT_ROUNDS:
-            buckets = _labelled(buckets, components)
+    close = stored(_close_pairs(buckets, maybe))
+    families = _families(close)
+    more = stored(_across(buckets, families, maybe, percent))
+    if not more.isEmpty():
+        families = _families(close.unionByName(more))
+    components = stored(connected_components(_confirmed(families, maybe, docs, id_col, text_col, n, percent)))
 
     labels = classes.select(F.col("class"), "_id").join(components.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = labels.groupBy("component").agg(F.min("_id").alias("component_id"))
