@@ -36,7 +36,7 @@ DEPTH, FINE_DEPTH = 3, 8
 SIMILARITY = 0.7
 MIN_DOCS, MIN_WORDS = 3, 8
 LEAF_LINES = 5000
-#: Recurring lines that are broadcast at most (16 bytes each); more are joined.
+#: Lines that are broadcast at most (8 or 16 bytes each); more are joined.
 BROADCAST_LINES = 1 << 20
 
 _WILD = U64(0x2545F4914F6CDD1D)
@@ -112,7 +112,7 @@ def grow(counts: np.ndarray, tokens: np.ndarray, similarity: float = SIMILARITY)
     return out
 
 
-def templates(found: DataFrame) -> DataFrame:
+def templates(found: DataFrame, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """(line, template) of the lines that share a template with another line; found: stored occurrences."""
     lines = found.groupBy("leaf", "fine", "line").agg(F.count("*").alias("n"))
     lines = stored(lines)
@@ -120,7 +120,9 @@ def templates(found: DataFrame) -> DataFrame:
     placed = lines.join(leaves, "leaf").withColumn("node", F.when(F.col("size") <= LEAF_LINES, F.col("leaf")).otherwise(F.xxhash64("leaf", "fine")))
     sizes = placed.groupBy("node").agg(F.count("*").alias("own")).where(f"own > 1 and own <= {LEAF_LINES}")
     chosen = stored(placed.join(sizes, "node").select("node", "line", "n"))
-    digests = found.select(F.col("line").alias("l"), "digests").join(chosen.select(F.col("line").alias("l")), "l", "left_semi").groupBy("l").agg(F.any_value("digests").alias("digests"))
+    wanted = chosen.select(F.col("line").alias("l"))
+    wanted = F.broadcast(wanted) if chosen.count() <= broadcast_lines else wanted  # 8 bytes a line; most lines' digests then stay where they are
+    digests = found.select(F.col("line").alias("l"), "digests").join(wanted, "l", "left_semi").groupBy("l").agg(F.any_value("digests").alias("digests"))
 
     def cluster(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n", "descending"), ("line", "ascending")])
@@ -139,10 +141,10 @@ def templates(found: DataFrame) -> DataFrame:
     return stored(chosen.join(digests, F.col("line") == F.col("l")).select("node", "line", "n", "digests").groupBy("node").applyInArrow(cluster, "line long, template long"))
 
 
-def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
+def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES) -> tuple[DataFrame, DataFrame]:
     """((line, first) of all lines of recurring templates, the occurrences). first: the least id with the template."""
     found = stored(occurrences(docs, id_col, text_col))
-    named = templates(found)
+    named = templates(found, broadcast_lines)
     each = found.select("doc", "line").distinct()
     merged = each.join(named, "line", "left_semi").join(named, "line").select(F.col("template"), "doc").distinct()
     single = each.join(named, "line", "left_anti").select(F.col("line").alias("template"), "doc")
@@ -175,7 +177,7 @@ def _cut(part: pa.RecordBatch, at: int, gone) -> tuple[pa.Array, np.ndarray, np.
 
 def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """The documents with recurring lines cut from text_col, plus _n_lines and _n_dropped."""
-    again, found = recurring(docs, id_col, text_col, min_docs)
+    again, found = recurring(docs, id_col, text_col, min_docs, broadcast_lines)
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     schema = ", ".join([*fields, "_n_lines long", "_n_dropped long"])
