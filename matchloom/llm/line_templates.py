@@ -12,9 +12,10 @@ documents but the first (the least id), so that what is dropped is still there o
 Lines with fewer than MIN_WORDS words are never dropped.
 
 Counting is by partial sums over (line, document), so a very common line is one row a
-task. A leaf with more than LEAF_LINES different lines goes on by further leading words
-(FINE_DEPTH), and past that by whole lines, which bounds what a task holds and compares;
-identical lines always meet. Positions are compared by 16-bit digests of their words.
+task. A leaf of any size is grouped whole: its lines, sorted by Spark, stream through one
+task, which holds the leaf's templates alone. Past SCAN_HEADS templates a line is compared
+with those that share a band of words with it; no template that it can join shares none, so
+the result is that of comparing all. Positions are compared by 16-bit digests of their words.
 
 Cases: a null text stays null and has no lines; empty texts, and lines without words, stay
 as they are; rows with the same id are one document; rows without an id count as one
@@ -24,6 +25,8 @@ table gives an empty result; extra columns pass through `dropped` unchanged.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +35,11 @@ from pyspark.sql import functions as F
 from .shared import documents, stored
 from .textvec import LOWER, U64, mix, segment_sum, slices, spans, words
 
-DEPTH, FINE_DEPTH = 3, 8
+DEPTH = 3
 SIMILARITY = 0.7
 MIN_DOCS, MIN_WORDS = 3, 8
-LEAF_LINES = 5000
+#: A line is compared with all templates of its leaf up to this number of them.
+SCAN_HEADS = 256
 #: Lines that are broadcast at most (8 or 16 bytes each); more are joined.
 BROADCAST_LINES = 1 << 20
 
@@ -58,7 +62,7 @@ def _sequence(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
 
 
 def lines_of(column: pa.Array):
-    """Of all lines with MIN_WORDS words or more: text index, start, end, leaf, finer leaf, line hash, words' digests; and raw bytes."""
+    """Of all lines with MIN_WORDS words or more: text index, start, end, leaf, line hash, words' digests; and raw bytes."""
     hashes, _, starts, ends, raw, offs = words(column, LOWER)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
     masked = np.where(digits[ends] > digits[starts], _WILD, hashes)
@@ -68,77 +72,111 @@ def lines_of(column: pa.Array):
     a, b, first, last = a[long], b[long], first[long], last[long]
     text = np.searchsorted(offs, a, side="right") - 1
     count = (last - first).astype(U64)
-    leaf, fine = (mix(_sequence(masked, first, np.minimum(last, first + depth)) + count * U64(0xBF58476D1CE4E5B9)) for depth in (DEPTH, FINE_DEPTH))
+    leaf = mix(_sequence(masked, first, np.minimum(last, first + DEPTH)) + count * U64(0xBF58476D1CE4E5B9))
     line = _sequence(masked, first, last)
     digests = (masked >> U64(48)).astype(np.uint16)
-    return text, a, b, leaf.view(np.int64), fine.view(np.int64), line.view(np.int64), first, last, digests, raw, offs
+    return text, a, b, leaf.view(np.int64), line.view(np.int64), first, last, digests, raw, offs
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, leaf, fine, line, digests): every different long line of each text once."""
+    """(doc, leaf, line, digests): every different long line of each text once."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                text, _, _, leaf, fine, line, first, last, digests, _, _ = lines_of(part.column(1))
+                text, _, _, leaf, line, first, last, digests, _, _ = lines_of(part.column(1))
                 _, one = np.unique(mix(line.view(U64) + text.astype(U64) * U64(0x9E3779B97F4A7C15)), return_index=True)
                 packed = [digests[x:y].tobytes() for x, y in zip(first[one], last[one])]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text[one])), pa.array(leaf[one]), pa.array(fine[one]), pa.array(line[one]), pa.array(packed, pa.binary())], names=["doc", "leaf", "fine", "line", "digests"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text[one])), pa.array(leaf[one]), pa.array(line[one]), pa.array(packed, pa.binary())], names=["doc", "leaf", "line", "digests"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc long, leaf long, fine long, line long, digests binary")
-
-
-def grow(counts: np.ndarray, tokens: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """The template (index of its first line) of each line of a leaf, by descending count; tokens: (lines, words)."""
-    n, width = tokens.shape
-    order = np.argsort(-counts, kind="stable")
-    templates = np.empty((min(n, 64), width), dtype=np.int32)
-    heads: list[int] = []
-    out = np.empty(n, dtype=np.int64)
-    for i in order:
-        if heads:
-            agree = (templates[: len(heads)] == tokens[i]).sum(axis=1)
-            t = int(agree.argmax())
-            if agree[t] >= similarity * width:
-                templates[t][templates[t] != tokens[i]] = -1
-                out[i] = heads[t]
+    return rows.mapInArrow(run, "doc long, leaf long, line long, digests binary")
+
+
+class Leaf:
+    """The templates of one leaf. Its lines come in by descending count; tokens: the digests of their words."""
+
+    def __init__(self, width: int, similarity: float = SIMILARITY, scan_heads: int = SCAN_HEADS):
+        self.least, self.scan_heads = math.ceil(similarity * width), scan_heads
+        self.templates = np.empty((16, width), dtype=np.int32)
+        self.heads: list[int] = []
+        self.alone: list[bool] = []
+        # One band more than positions that may differ, so a template that a line can join has one band without a difference.
+        start = min(DEPTH, self.least - 1)  # the leading words are the leaf's own
+        self.cuts = np.linspace(start, width, width - self.least + 2).astype(int)
+        self.early: list[np.ndarray] = []  # the heads before there was an index
+        self.by_band: dict[int, list[int]] = {}
+
+    def _bands(self, tokens: np.ndarray) -> list[list[int]]:
+        flat, row = tokens.astype(U64).ravel(), np.arange(len(tokens)) * tokens.shape[1]
+        return np.stack([mix(_sequence(flat, row + x, row + y) + U64(x)) for x, y in zip(self.cuts[:-1], self.cuts[1:])], axis=1).tolist()
+
+    def _index(self, t: int, bands: list[int]) -> None:
+        # By the head's words: where a template still has no wildcard, they are its own.
+        for band in bands:
+            self.by_band.setdefault(band, []).append(t)
+
+    def add(self, lines: list[int], tokens: np.ndarray) -> list[tuple[int, int]]:
+        """(line, template) of the lines that join a template, and of each template's first line when it is first joined."""
+        pairs, bands = [], None
+        for i, line in enumerate(lines):
+            n, near = len(self.heads), None
+            if n > self.scan_heads:
+                if bands is None:
+                    for t, own in enumerate(self._bands(np.array(self.early)) if self.early else []):
+                        self._index(t, own)
+                    self.early, bands = [], [[]] * i + self._bands(tokens[i:])
+                near = np.array(sorted({t for band in bands[i] for t in self.by_band.get(band, ())}), dtype=np.int64)
+            agree = (self.templates[:n] if near is None else self.templates[near]) == tokens[i]
+            share = agree.sum(axis=1)
+            best = int(share.argmax()) if len(share) else -1
+            if best >= 0 and share[best] >= self.least:
+                t = best if near is None else int(near[best])
+                self.templates[t][~agree[best]] = -1
+                pairs += [(self.heads[t], self.heads[t])] * self.alone[t] + [(line, self.heads[t])]
+                self.alone[t] = False
                 continue
-        if len(heads) == len(templates):
-            templates = np.concatenate([templates, np.empty_like(templates)])
-        templates[len(heads)] = tokens[i]
-        heads.append(i)
-        out[i] = i
-    return out
+            if n == len(self.templates):
+                self.templates = np.concatenate([self.templates, np.empty_like(self.templates)])
+            self.templates[n] = tokens[i]
+            if near is None:
+                self.early.append(tokens[i])
+            else:
+                self._index(n, bands[i])
+            self.heads.append(line)
+            self.alone.append(True)
+        return pairs
+
+
+def _grouped(batches):
+    """(line, template) of the lines that share a template with another; a node's lines come together, the most frequent first."""
+    node, leaves = None, {}
+    for batch in batches:
+        nodes, lines, packed = batch.column("leaf").to_numpy(), batch.column("line").to_pylist(), batch.column("digests").to_pylist()
+        widths = np.array([len(p) // 2 for p in packed], dtype=np.int64)
+        new = np.ones(len(nodes), dtype=bool)
+        new[1:] = (nodes[1:] != nodes[:-1]) | (widths[1:] != widths[:-1])  # one width a leaf, unless two leaves' hashes are equal
+        cuts, pairs = [*np.flatnonzero(new), len(nodes)], []
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            if nodes[x] != node:
+                node, leaves = nodes[x], {}
+            w = int(widths[x])
+            leaf = leaves[w] = leaves.get(w) or Leaf(w)
+            pairs += leaf.add(lines[x:y], np.frombuffer(b"".join(packed[x:y]), dtype=np.uint16).reshape(-1, w).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["line", "template"])
 
 
 def templates(found: DataFrame, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """(line, template) of the lines that share a template with another line; found: stored occurrences."""
-    lines = found.groupBy("leaf", "fine", "line").agg(F.count("*").alias("n"))
-    lines = stored(lines)
+    lines = stored(found.groupBy("leaf", "line").agg(F.count("*").alias("n")))
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("size")).where("size > 1")
-    placed = lines.join(leaves, "leaf").withColumn("node", F.when(F.col("size") <= LEAF_LINES, F.col("leaf")).otherwise(F.xxhash64("leaf", "fine")))
-    sizes = placed.groupBy("node").agg(F.count("*").alias("own")).where(f"own > 1 and own <= {LEAF_LINES}")
-    chosen = stored(placed.join(sizes, "node").select("node", "line", "n"))
+    chosen = stored(lines.join(leaves, "leaf").select("leaf", "line", "n"))
     wanted = chosen.select(F.col("line").alias("l"))
     wanted = F.broadcast(wanted) if chosen.count() <= broadcast_lines else wanted  # 8 bytes a line; most lines' digests then stay where they are
     digests = found.select(F.col("line").alias("l"), "digests").join(wanted, "l", "left_semi").groupBy("l").agg(F.any_value("digests").alias("digests"))
-
-    def cluster(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n", "descending"), ("line", "ascending")])
-        packed = table.column("digests").to_pylist()
-        line, n = table.column("line").to_numpy(), table.column("n").to_numpy()
-        widths = np.array([len(p) for p in packed])
-        out = line.copy()
-        for w in np.unique(widths):  # one width, unless two leaves' hashes are equal
-            own = np.flatnonzero(widths == w)
-            tokens = np.frombuffer(b"".join(packed[i] for i in own), dtype=np.uint16).reshape(len(own), -1).astype(np.int32)
-            out[own] = line[own[grow(n[own], tokens)]]
-        _, inverse, size = np.unique(out, return_inverse=True, return_counts=True)
-        keep = size[inverse] > 1
-        return pa.table({"line": pa.array(line[keep], pa.int64()), "template": pa.array(out[keep], pa.int64())})
-
-    return stored(chosen.join(digests, F.col("line") == F.col("l")).select("node", "line", "n", "digests").groupBy("node").applyInArrow(cluster, "line long, template long"))
+    rows = chosen.join(digests, F.col("line") == F.col("l")).select("leaf", "line", "n", "digests")
+    ordered = rows.repartition("leaf").sortWithinPartitions("leaf", F.desc("n"), "line").select("leaf", "line", "digests")
+    return stored(ordered.mapInArrow(_grouped, "line long, template long"))
 
 
 def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES) -> tuple[DataFrame, DataFrame]:
@@ -158,7 +196,7 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 def _cut(part: pa.RecordBatch, at: int, gone) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The texts of column `at` without the lines that gone(text, line) marks; numbers of lines and of those dropped."""
     column = part.column(at)
-    text, a, b, _, _, line, _, _, _, raw, offs = lines_of(column)
+    text, a, b, _, line, _, _, _, raw, offs = lines_of(column)
     drop = gone(text, line)
     n_lines = segment_sum(_NEWLINE[raw], offs) + np.asarray(column.is_valid())
     dropped = np.bincount(text[drop], minlength=part.num_rows)

@@ -307,6 +307,43 @@ def test_op7(spark):
     assert line_templates.dropped(frame.limit(0)).count() == 0
 
 
+def greedy(tokens, least):
+    heads, out = [], []
+    for i, own in enumerate(tokens):
+        share = [sum(x == y for x, y in zip(t, own)) for _, t in heads]
+        if share and max(share) >= least:
+            k = share.index(max(share))
+            heads[k] = (heads[k][0], [x if x == y else None for x, y in zip(heads[k][1], own)])
+            out.append(heads[k][0])
+        else:
+            heads.append((i, list(own)))
+            out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("width,kinds", [(8, 3), (9, 4), (10, 3), (17, 2), (40, 2)])
+def test_op7_bands_change_nothing(width, kinds):
+    g = np.random.default_rng(width)
+    tokens = g.integers(0, kinds, (500, width)).astype(np.int32)
+    tokens[:, : line_templates.DEPTH] = 7
+    expected = greedy(tokens.tolist(), math.ceil(line_templates.SIMILARITY * width))
+    for scan in (0, 5, 1 << 30):
+        leaf, pairs = line_templates.Leaf(width, scan_heads=scan), []
+        for x in range(0, 500, 120):
+            pairs += leaf.add(list(range(500))[x : x + 120], tokens[x : x + 120])
+        assert len(pairs) == len(set(pairs)) and set(pairs) == {(i, t) for i, t in enumerate(expected) if expected.count(t) > 1}
+
+
+def test_op7_large_leaf(spark):
+    def name(i):
+        return "".join("abcdefghij"[int(c)] for c in str(i))
+
+    n = 5100  # one template with a name at word 6, and in the same leaf a smaller one
+    texts = [f"we have sent to Ms {name(i)} a parcel by post" for i in range(n)] + [f"we have sent you some {name(i)} more than was asked" for i in range(5)]
+    got = {r["doc_id"]: r["_n_dropped"] for r in line_templates.dropped(table(spark, texts)).collect()}
+    assert {i for i, k in got.items() if not k} == {0, n} and len(got) == n + 5
+
+
 def test_op8_counts():
     texts = ODD + [prose(rng.randint(0, 90)) for _ in range(80)]
     found = quality_rules.features(pa.array(texts))
