@@ -130,6 +130,12 @@ def target_index(spark, sf_dir):
     return B.target_index([Linkage(spark, sf_dir).targets_raw], per_source=1000)
 
 
+@_query("target_index_whole", O.query("SELECT entity_id, business_name, business_address, country FROM rec WHERE source <> 'S1'"))
+def target_index_whole(spark, sf_dir):
+    """Without the cap, as the reference builds it by default."""
+    return B.target_index([Linkage(spark, sf_dir).targets_raw])
+
+
 @_query("id_prefixes", O.query("SELECT entity_id, starts_with(entity_id, 'S1-') AS is_s1, starts_with(entity_id, 'S2-') AS is_s2 FROM er_all"))
 def id_prefixes(spark, sf_dir):
     return Linkage(spark, sf_dir).all_raw.select("entity_id", V.has_prefix("entity_id", "S1-").alias("is_s1"), V.has_prefix("entity_id", "S2-").alias("is_s2"))

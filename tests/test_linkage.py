@@ -189,6 +189,21 @@ def test_models_round_trip(spark, tmp_path):
     assert a == [r["p"] for r in again.probabilities(rows).orderBy("id").collect()] and all(0 <= p <= 1 for p in a)
 
 
+def test_target_index(spark):
+    rows = [(f"S{s}-{i}", f"{c}{i}", "", "US") for s in (2, 3) for i in range(5) for c in "ba"] + [(" ", "x", "", "US")]
+    raw = spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string")
+    assert {(r["entity_id"], r["business_name"]) for r in B.target_index([raw]).collect()} == {(f"S{s}-{i}", f"a{i}") for s in (2, 3) for i in range(5)}
+    assert {r["entity_id"] for r in B.target_index([raw], per_source=2).collect()} == {"S2-0", "S2-1", "S3-0", "S3-1"}
+
+
+def test_target_index_whole(spark):
+    import __spark_entry__ as entry
+
+    sf_dir = "/root/testdata/sf0.01"
+    got = [r["entity_id"] for r in entry.queries()["target_index_whole"](spark, sf_dir).collect()]
+    assert len(got) > 2000 and sorted(got) == sorted(r["entity_id"] for r in Linkage(spark, sf_dir).targets_raw.collect())
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
