@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 from .shared import documents, stored
 from .textvec import LOWER, U64, mix, segment_sum, slices, words
 
-DEPTH, MIN_CONTEXT, MIN_NEXT = 3, 100, 3
+#: A context seen less often than MIN_NEXT has no explicit successor: MIN_CONTEXT cuts nothing that DIVERGENCE could keep.
+DEPTH, MIN_CONTEXT, MIN_NEXT = 3, 3, 3
 DISCOUNT, DIVERGENCE = 0.5, 0.05
 #: Additive smoothing of the root.
 ADDED = 0.1

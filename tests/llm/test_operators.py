@@ -192,6 +192,15 @@ def test_op3_query(spark):
     assert suffix_tree_lm.score(frame.limit(0)).count() == 0
 
 
+def test_op3_rare_sharp_contexts(spark):
+    texts = [" ".join(f"w{i}x{k}" for k in range(20)) + (" zig zag zog" if i % 4 == 1 else "") for i in range(40)]
+    got = {r["doc_id"]: r for r in suffix_tree_lm.score(table(spark, texts)).collect()}
+    for i, r in got.items():
+        if r["held_out"]:
+            assert (r["score"] > r["base_score"] + 1) == (i % 4 == 1)
+    assert {r["held_out"] for i, r in got.items() if i % 4 == 1} == {False, True}
+
+
 def test_op4(spark):
     pages = [(i, f"http://h/{i}", "body é " * (i % 7)) for i in range(1200)] + [(3, "http://h/3", "again"), (None, None, None), (5000, "u", None)]
     a = spark.createDataFrame(pages, "page_id long, url string, html string")
