@@ -1,9 +1,9 @@
 """License scans with ordered signature rules.
 
 A text is reduced to its words (A-Z lower-cased, other ASCII signs become gaps), joined
-by single spaces. Every rule is a regular expression over those words with a keyword
-that must occur before the expression is tried at all; most texts fail all keywords and
-cost one byte-table pass and a few substring searches. Detections are then resolved: one
+by single spaces. Every rule is a regular expression over those words with keywords,
+one for each of its alternatives, of which one must occur before the expression is tried at
+all; most texts fail all keywords and cost one byte-table pass and a few substring searches. Detections are then resolved: one
 whose interval lies inside that of a rule of higher priority - or of the same priority
 and longer, or equal and earlier in the table - is suppressed. The phrases of BASE are
 rules as well, but they always stay.
@@ -30,9 +30,9 @@ from .textvec import LOWER, NON_ALNUM, slices
 #: Phrases whose every place counts, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: label -> (keyword, expression of the license's name in plain words)
+#: label -> (keywords, expression of the license's name in plain words); each way to match holds one of the keywords.
 NAMES = {
-    "mit": ("mit", r"(?:the )?(?:mit|expat|x11)"),
+    "mit": ("mit expat x11", r"(?:the )?(?:mit|expat|x11)"),
     "mit-0": ("mit", r"mit (?:0|no attribution)"),
     "apache-1.1": ("apache", r"apache(?: software)?(?: license)?(?: version)? 1 1"),
     "apache-2.0": ("apache", r"apache(?: software)?(?: license)?(?: version| v)? ?v?2(?: 0)?"),
@@ -72,9 +72,9 @@ NAMES = {
     "python": ("python", r"python software foundation"),
     "ofl": ("sil", r"sil open font(?: license)?(?: version| v)?(?: 1 1)?"),
     "odbl": ("open", r"open (?:data commons open )?database(?: license)?(?: v?1 0)?"),
-    "cc0-1.0": ("cc0", r"(?:cc0|creative commons zero)(?: v?1 0)?(?: universal)?"),
-    "cc-by-4.0": ("cc", r"(?:cc by|creative commons attribution) 4 0(?: international)?"),
-    "cc-by-3.0": ("cc", r"(?:cc by|creative commons attribution) 3 0(?: unported)?"),
+    "cc0-1.0": ("cc0 zero", r"(?:cc0|creative commons zero)(?: v?1 0)?(?: universal)?"),
+    "cc-by-4.0": ("cc commons", r"(?:cc by|creative commons attribution) 4 0(?: international)?"),
+    "cc-by-3.0": ("cc commons", r"(?:cc by|creative commons attribution) 3 0(?: unported)?"),
     "cc-by-sa": ("cc", r"cc by sa(?: \d \d)?"),
     "cc-by-nc": ("cc", r"cc by nc(?: \d \d)?"),
     "cc-by-nd": ("cc", r"cc by nd(?: \d \d)?"),
@@ -93,10 +93,10 @@ FORMS = [
     ("copy", 4, r"(?:copy|text|version) of (?:the )?N licen[sc]e"),
     ("name", 2, r"N licen[sc]e"),
 ]
-#: Clauses: (label, keyword, priority, expression)
+#: Clauses: (label, keywords, priority, expression)
 CLAUSES = [
     ("mit", "hereby", 4, r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", "hereby", 4, r"permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", "distribute", 4, r"permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", "redistribution", 4, r"redistribution and use in source and binary forms with or without modification"),
     ("bsd-3-clause", "endorse", 3, r"neither the names? of .{1,80}? may be used to endorse or promote products"),
     ("apache-2.0", "apache", 4, r"www apache org licenses license 2 0"),
@@ -133,33 +133,34 @@ CLAUSES = [
 WORTH = {0: 0.5, 1: 0.3, 2: 0.5, 3: 0.7, 4: 0.9, 5: 0.95}
 
 
-def rules() -> list[tuple[str, str, int, bytes, bytes]]:
-    """(label, rule, priority, keyword, expression), in order; the base phrases first, with priority 0."""
+def rules() -> list[tuple[str, str, int, tuple[bytes, ...], bytes]]:
+    """(label, rule, priority, keywords, expression), in order; the base phrases first, with priority 0."""
     out = [(label, f"base:{phrase}", 0, max(phrase.split(), key=len) if phrase != "cc by" else "cc", re.escape(phrase).replace(r"\ ", " ")) for phrase, label in BASE.items()]
-    for label, (keyword, name) in NAMES.items():
-        out += [(label, f"{label}:{form}", priority, keyword, expression.replace("N", f"(?:{name})")) for form, priority, expression in FORMS]
-    out += [(label, f"{label}:clause{k}", priority, keyword, expression) for k, (label, keyword, priority, expression) in enumerate(CLAUSES)]
-    return [(label, rule, priority, keyword.encode(), rf"(?<![^ ])(?:{expression})(?![^ ])".encode()) for label, rule, priority, keyword, expression in out]
+    for label, (keywords, name) in NAMES.items():
+        out += [(label, f"{label}:{form}", priority, keywords, expression.replace("N", f"(?:{name})")) for form, priority, expression in FORMS]
+    out += [(label, f"{label}:clause{k}", priority, keywords, expression) for k, (label, keywords, priority, expression) in enumerate(CLAUSES)]
+    return [(label, rule, priority, tuple(keywords.encode().split()), rf"(?<![^ ])(?:{expression})(?![^ ])".encode()) for label, rule, priority, keywords, expression in out]
 
 
-#: A text with none of these has no detection of a FORMS rule.
+#: A text with none of these has no detection of a FORMS rule but `see`.
 GENERAL = (b"licen", b"under")
 _TABLE = bytes(0x20 if NON_ALNUM[LOWER[b]] else int(LOWER[b]) for b in range(256))
 
 
 class Scanner:
     def __init__(self):
-        self.by_keyword: dict[bytes, list] = {}
-        for order, (label, rule, priority, keyword, expression) in enumerate(rules()):
-            general = ":" in rule and rule.split(":")[1] in {f for f, _, _ in FORMS}
-            self.by_keyword.setdefault(keyword, []).append((order, label, rule, priority, general, re.compile(expression, re.S)))
+        self.by_keywords: dict[tuple[bytes, ...], list] = {}
+        for order, (label, rule, priority, keywords, expression) in enumerate(rules()):
+            general = ":" in rule and rule.split(":")[1] in {f for f, _, _ in FORMS} - {"see"}
+            self.by_keywords.setdefault(keywords, []).append((order, label, rule, priority, general, re.compile(expression, re.S)))
+        self.all_keywords = sorted({k for keywords in self.by_keywords for k in keywords})
 
     def detections(self, flat: bytes) -> list[tuple[int, int, int, int, str, str]]:
         """(start, end, priority, order, label, rule) of all matches in the joined words."""
         found = []
         general = any(k in flat for k in GENERAL)
-        for keyword, own in self.by_keyword.items():
-            if keyword in flat:
+        for keywords, own in self.by_keywords.items():
+            if any(k in flat for k in keywords):
                 for order, label, rule, priority, needs_general, expression in own:
                     if general or not needs_general:
                         found += [(m.start(), m.end(), priority, order, label, rule) for m in expression.finditer(flat)]
@@ -167,7 +168,7 @@ class Scanner:
 
     def hopeless(self, gaps: bytes) -> bool:
         """Whether no keyword occurs; keywords are parts of single words, so gaps don't matter."""
-        return not any(k in gaps for k in self.by_keyword)
+        return not any(k in gaps for k in self.all_keywords)
 
 
 def resolve(found: list[tuple[int, int, int, int, str, str]]) -> list[tuple[int, int, int, int, str, str]]:

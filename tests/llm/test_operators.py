@@ -4,7 +4,10 @@ import collections
 import hashlib
 import math
 import random
+import re
 import zlib
+from re import _constants as sre_constants
+from re import _parser as sre_parser
 
 import numpy as np
 import pyarrow as pa
@@ -407,6 +410,50 @@ def test_op9(spark):
     assert license_scan.scan(table(spark, ODD).limit(0)).count() == 0
 
 
+def ways(parsed):
+    """An example of every alternative of a parsed expression, without what it can do without."""
+    out = [""]
+    for op, arg in parsed:
+        if op is sre_constants.LITERAL:
+            new = [chr(arg)]
+        elif op is sre_constants.IN:
+            kind, first = arg[0]
+            new = ["2"] if kind is sre_constants.CATEGORY else [chr(first)] if kind is sre_constants.LITERAL else [chr(first[0])]
+        elif op is sre_constants.BRANCH:
+            new = [x for branch in arg[1] for x in ways(branch)]
+        elif op is sre_constants.SUBPATTERN:
+            new = ways(arg[3])
+        elif op in (sre_constants.MAX_REPEAT, sre_constants.MIN_REPEAT):
+            new = [x * arg[0] for x in ways(arg[2])] if arg[0] else [""]
+        elif op is sre_constants.ANY:
+            new = ["x"]
+        else:
+            assert op in (sre_constants.ASSERT, sre_constants.ASSERT_NOT), op
+            new = [""]
+        out = [a + b for a in out for b in new]
+    return out
+
+
+def test_op9_gates_lose_nothing():
+    scanner, tried = license_scan.scanner(), 0
+    for _, rule, _, _, expression in license_scan.rules():
+        for example in sorted(set(ways(sre_parser.parse(expression.decode())))):
+            flat = example.encode()
+            ungated = [m.span() for m in re.finditer(expression, flat)]
+            assert ungated and not scanner.hopeless(flat), (rule, example)
+            assert [d[:2] for d in scanner.detections(flat) if d[5] == rule] == ungated, (rule, example)
+            tried += 1
+    assert tried > 1000
+    for text, wanted in (
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by-4.0"),
+        ("Released under the Creative Commons Zero 1.0 Universal license", "cc0-1.0"),
+        ("Distributed under the Expat license", "mit"),
+        ("See the MIT for details", "mit"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose", "isc"),
+    ):
+        assert wanted in {d[3] for d in license_scan.scan_text(text.encode())[1]}
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_op10(name):
     P = pytest.importorskip("public_tokenizers")
