@@ -9,7 +9,11 @@ leaves with several different lines need this; a line alone in its leaf is its t
 
 A template found in at least MIN_DOCS documents recurs: its lines are dropped from all
 documents but the first (the least id), so that what is dropped is still there once.
-Lines with fewer than MIN_WORDS words are never dropped.
+
+Some lines are compared as they are as well, digits and all (but for the case of A-Z and
+the spaces between words), outside the tree: those with over LONG_WORDS words recur from
+two documents on, those with fewer than MIN_WORDS words, of which one has a letter, from
+SHORT_DOCS documents on.
 
 Counting is by partial sums over (line, document), so a very common line is one row a
 task. A leaf of any size is grouped whole: its lines, sorted by Spark, stream through one
@@ -38,6 +42,7 @@ from .textvec import LOWER, U64, mix, segment_sum, slices, spans, words
 DEPTH = 3
 SIMILARITY = 0.7
 MIN_DOCS, MIN_WORDS = 3, 8
+LONG_WORDS, LONG_DOCS, SHORT_DOCS = 50, 2, 5
 #: A line is compared with all templates of its leaf up to this number of them.
 SCAN_HEADS = 256
 #: Lines that are broadcast at most (8 or 16 bytes each); more are joined.
@@ -46,6 +51,8 @@ BROADCAST_LINES = 1 << 20
 _WILD = U64(0x2545F4914F6CDD1D)
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[ord("0") : ord("9") + 1] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[0x80:] = _LETTER[ord("a") : ord("z") + 1] = _LETTER[ord("A") : ord("Z") + 1] = True
 _NEWLINE = np.zeros(256, dtype=bool)
 _NEWLINE[0x0A] = True
 
@@ -62,35 +69,58 @@ def _sequence(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
 
 
 def lines_of(column: pa.Array):
-    """Of all lines with MIN_WORDS words or more: text index, start, end, leaf, line hash, words' digests; and raw bytes."""
+    """Of all lines with words: text index, start, end, leaf, hash as a template, hash as it is, words' digests; and raw bytes.
+
+    A line has the hash 0 where it is not compared in that way.
+    """
     hashes, _, starts, ends, raw, offs = words(column, LOWER)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
     masked = np.where(digits[ends] > digits[starts], _WILD, hashes)
     a, b = spans(raw, offs, _NEWLINE)
     first, last = np.searchsorted(starts, a), np.searchsorted(starts, b)
-    long = last - first >= MIN_WORDS
-    a, b, first, last = a[long], b[long], first[long], last[long]
+    some = last > first
+    a, b, first, last = a[some], b[some], first[some], last[some]
+    letters = np.concatenate([[0], np.cumsum(_LETTER[raw])])
     text = np.searchsorted(offs, a, side="right") - 1
     count = (last - first).astype(U64)
     leaf = mix(_sequence(masked, first, np.minimum(last, first + DEPTH)) + count * U64(0xBF58476D1CE4E5B9))
-    line = _sequence(masked, first, last)
+    short = last - first < MIN_WORDS
+    line = np.where(short, U64(0), _sequence(masked, first, last))
+    same = np.where(np.where(short, letters[b] > letters[a], last - first > LONG_WORDS), mix(_sequence(hashes, first, last) ^ U64(0x94D049BB133111EB)), U64(0))
     digests = (masked >> U64(48)).astype(np.uint16)
-    return text, a, b, leaf.view(np.int64), line.view(np.int64), first, last, digests, raw, offs
+    return text, a, b, leaf.view(np.int64), line.view(np.int64), same.view(np.int64), first, last, digests, raw, offs
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, leaf, line, digests): every different long line of each text once."""
+    """(doc, leaf, line, digests, least): every different line of each text once in each way it is compared.
+
+    Lines of templates have no `least`; those compared as they are have no leaf and digests,
+    and recur from `least` documents on.
+    """
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                text, _, _, leaf, line, first, last, digests, _, _ = lines_of(part.column(1))
-                _, one = np.unique(mix(line.view(U64) + text.astype(U64) * U64(0x9E3779B97F4A7C15)), return_index=True)
+                text, _, _, leaf, line, same, first, last, digests, _, _ = lines_of(part.column(1))
+
+                def once(key):
+                    _, one = np.unique(mix(key.view(U64) + text.astype(U64) * U64(0x9E3779B97F4A7C15)), return_index=True)
+                    return one[key[one] != 0]
+
+                one, as_is = once(line), once(same)
                 packed = [digests[x:y].tobytes() for x, y in zip(first[one], last[one])]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text[one])), pa.array(leaf[one]), pa.array(line[one]), pa.array(packed, pa.binary())], names=["doc", "leaf", "line", "digests"])
+                least = np.where(last[as_is] - first[as_is] > LONG_WORDS, LONG_DOCS, SHORT_DOCS)
+                none = len(as_is)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(np.concatenate([text[one], text[as_is]]))), pa.concat_arrays([pa.array(leaf[one]), pa.nulls(none, pa.int64())]), pa.array(np.concatenate([line[one], same[as_is]])),
+                        pa.concat_arrays([pa.array(packed, pa.binary()), pa.nulls(none, pa.binary())]), pa.concat_arrays([pa.nulls(len(one), pa.int32()), pa.array(least, pa.int32())]),
+                    ],
+                    names=["doc", "leaf", "line", "digests", "least"],
+                )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc long, leaf long, line long, digests binary")
+    return rows.mapInArrow(run, "doc long, leaf long, line long, digests binary, least int")
 
 
 class Leaf:
@@ -180,24 +210,26 @@ def templates(found: DataFrame, broadcast_lines: int = BROADCAST_LINES) -> DataF
 
 
 def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES) -> tuple[DataFrame, DataFrame]:
-    """((line, first) of all lines of recurring templates, the occurrences). first: the least id with the template."""
+    """((line, first) of all recurring lines, the occurrences). first: the least id with the template, or with the line as it is."""
     found = stored(occurrences(docs, id_col, text_col))
-    named = templates(found, broadcast_lines)
-    each = found.select("doc", "line").distinct()
+    in_tree = found.where("least is null")
+    named = templates(in_tree, broadcast_lines)
+    each = in_tree.select("doc", "line").distinct()
     merged = each.join(named, "line", "left_semi").join(named, "line").select(F.col("template"), "doc").distinct()
     single = each.join(named, "line", "left_anti").select(F.col("line").alias("template"), "doc")
     counted = single.unionByName(merged).groupBy("template").agg(F.count("*").alias("docs"), F.min("doc").alias("first")).where(F.col("docs") >= min_docs).select("template", "first")
     again = stored(counted)
     by_template = named.join(again, "template").select("line", "first")
     alone = again.join(named.select(F.col("line").alias("template")), "template", "left_anti").select(F.col("template").alias("line"), "first")
-    return stored(alone.unionByName(by_template)), found
+    as_is = found.where("least is not null").select("doc", "line", "least").distinct().groupBy("line").agg(F.count("*").alias("docs"), F.min("doc").alias("first"), F.min("least").alias("least"))
+    return stored(alone.unionByName(by_template).unionByName(as_is.where("docs >= least").select("line", "first"))), found
 
 
 def _cut(part: pa.RecordBatch, at: int, gone) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The texts of column `at` without the lines that gone(text, line) marks; numbers of lines and of those dropped."""
     column = part.column(at)
-    text, a, b, _, line, _, _, _, raw, offs = lines_of(column)
-    drop = gone(text, line)
+    text, a, b, _, line, same, _, _, _, raw, offs = lines_of(column)
+    drop = gone(text, line) | gone(text, same)
     n_lines = segment_sum(_NEWLINE[raw], offs) + np.asarray(column.is_valid())
     dropped = np.bincount(text[drop], minlength=part.num_rows)
     texts = column.to_pylist()

@@ -356,6 +356,19 @@ def test_op7_large_leaf(spark):
     assert {i for i, k in got.items() if not k} == {0, n} and len(got) == n + 5
 
 
+def test_op7_long_and_short_lines(spark):
+    passage = " ".join(f"p{k}q" if k % 9 else f"word{'abcdefgh'[k // 9]}" for k in range(60))
+    long, other, fifty = (" ".join(c + "abcdefghij"[k // 10] + "abcdefghij"[k % 10] for k in range(n)) for c, n in (("l", 51), ("m", 51), ("n", 50)))
+    owners = {passage: [0], passage.replace("p1q", "p99q"): [4], long: [2, 5], other: [6], fifty: [1, 7], "All rights reserved.": [1, 2, 3, 6, 8], "seen in four": [0, 1, 2, 3], "}": list(range(9)), "12 13": list(range(9)), "}  12": list(range(9))}
+    texts = ["\n".join(["", *[x for x, own in owners.items() if i in own], "", f"own{i}"]) for i in range(9)]
+    gone = {long: 2, "All rights reserved.": 1}
+    for limit in (1 << 20, 0):  # broadcast and join
+        for r in line_templates.dropped(table(spark, texts), broadcast_lines=limit).collect():
+            i = r["doc_id"]
+            kept = [x for x in texts[i].split("\n") if gone.get(x, i) == i]
+            assert r["text"] == "\n".join(kept) and r["_n_dropped"] == len(texts[i].split("\n")) - len(kept), (limit, i)
+
+
 def test_op8_counts():
     texts = ODD + [prose(rng.randint(0, 90)) for _ in range(80)]
     found = quality_rules.features(pa.array(texts))
