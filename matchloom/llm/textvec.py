@@ -1,8 +1,9 @@
 """Vectorised text primitives on Arrow buffers: words, lines and their hashes.
 
 All functions work on the UTF-8 bytes of a whole Arrow string column at once, so a
-document costs no Python-level loop. Hashes are 64-bit: a polynomial over the bytes
-modulo 2**64 by prefix sums, joined with the length, then mixed.
+document costs no Python-level loop. Hashes are 64-bit: a span's bytes are taken by
+eights, each is mixed together with its place in the span, and the sum is mixed with the
+length. (A polynomial modulo 2**64 would not do: Thue-Morse words meet under every base.)
 """
 
 from __future__ import annotations
@@ -11,12 +12,11 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
-#: Bytes hashed at a time; bounds the temporary arrays (about 50 bytes each).
-SEGMENT = 1 << 20
-
-_POW: list[np.ndarray] = []
+_STEP, _PLACE = U64(0x9E3779B97F4A7C15), U64(0x2127599BF4325C37)
+#: Masks that keep the first k of eight bytes.
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=U64)
+#: Eights of long spans hashed at a time; bounds the temporary arrays (about 80 bytes each).
+SEGMENT = 1 << 18
 
 #: The bytes that end a word (space and \t \n \v \f \r).
 SPACE = np.zeros(256, dtype=bool)
@@ -40,20 +40,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POW or len(_POW[0]) < n:
-        size = max(n, SEGMENT + 1)
-        for k, base in enumerate((_BASE, _INV)):
-            steps = np.full(size, base, dtype=U64)
-            steps[0] = 1
-            table = np.multiply.accumulate(steps)
-            if len(_POW) > k:
-                _POW[k] = table
-            else:
-                _POW.append(table)
-    return _POW[0], _POW[1]
-
-
 def buffer_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The column's bytes and its len + 1 offsets into them; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -98,22 +84,22 @@ def spans(raw: np.ndarray, offs: np.ndarray, stop: np.ndarray) -> tuple[np.ndarr
 
 
 def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span (in ascending order, not overlapping) after folding."""
-    out = np.empty(len(starts), dtype=U64)
-    at = 0
-    while at < len(starts):
-        base = starts[at]
-        end = max(at + 1, int(np.searchsorted(ends, base + SEGMENT, side="right")))
-        a, b = starts[at:end] - base, ends[at:end] - base
-        power, inverse = _powers(int(b[-1]) + 1)
-        part = fold[raw[base : base + b[-1]]].astype(U64)
-        part += U64(1)
-        part *= power[: len(part)]
-        sums = np.zeros(len(part) + 1, dtype=U64)
-        np.cumsum(part, out=sums[1:])
-        out[at:end] = (sums[b] - sums[a]) * inverse[a] + (b - a).astype(U64) * U64(0xD6E8FEB86659FD93)
-        at = end
-    return mix(out)
+    """A 64-bit hash of the bytes of each span after folding: every eight bytes are mixed with their place before they are summed."""
+    sizes = ends - starts
+    folded = np.zeros(len(raw) + 8, dtype=np.uint8)
+    np.take(fold, raw, out=folded[: len(raw)])
+    eights = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=folded.data, strides=(1,))
+    out = mix((eights[starts] & _KEEP[np.minimum(sizes, 8)]) ^ _PLACE) if len(starts) else np.zeros(0, U64)
+    long = np.flatnonzero(sizes > 8)
+    upto = np.cumsum((sizes[long] - 1) // 8)  # further eights of the long spans
+    for at in range(0, int(upto[-1]) if len(long) else 0, SEGMENT):
+        index = np.arange(at, min(at + SEGMENT, int(upto[-1])))
+        who = np.searchsorted(upto, index, side="right")
+        whose = long[who]
+        inner = index - np.concatenate([[0], upto])[who] + 1
+        value = eights[starts[whose] + 8 * inner] & _KEEP[np.minimum(sizes[whose] - 8 * inner, 8)]
+        np.add.at(out, whose, mix(value ^ mix(inner.astype(U64) * _STEP + _PLACE)))
+    return mix(out + sizes.astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
 def words(column: pa.Array, fold: np.ndarray = SAME, stop: np.ndarray = SPACE):

@@ -49,6 +49,23 @@ def test_words_and_windows():
     assert len(set(seen.values())) == len(seen)
 
 
+@pytest.mark.parametrize("steps", [10, 12, 14])
+def test_thue_morse_words_differ(steps):
+    a, b = "a", "b"
+    for _ in range(steps):
+        a, b = a + b, b + a
+    hashes, *_ = textvec.words(pa.array([f"{a} {b}"]))
+    assert hashes[0] != hashes[1]
+    assert quality_rules.features(pa.array([f"{a}\n{b}"]))["n_dup_lines"].tolist() == [0]
+
+
+def test_long_words_in_portions(monkeypatch):
+    texts = [" ".join("".join(rng.choice("abcXé") for _ in range(rng.randint(1, 60))) for _ in range(40)) for _ in range(20)]
+    whole, *_ = textvec.words(pa.array(texts), textvec.LOWER)
+    monkeypatch.setattr(textvec, "SEGMENT", 3)
+    assert (textvec.words(pa.array(texts), textvec.LOWER)[0] == whole).all()
+
+
 def test_op1_cascade_is_exact():
     g = np.random.default_rng(1)
     h1, h2 = (g.integers(0, 1 << 63, 20000).astype(np.uint64) for _ in range(2))
