@@ -7,15 +7,21 @@ first level that misses it has an even number, or it passes an odd number of lev
 
 Keys are cut into shards by their hash, each of about SHARD_KEYS keys, and every shard
 gets a cascade of its own in one small task. Together they take about 1.44 log2(U/S) + 4
-bits a listed key. Lookups run inside the scan against broadcast shards; if the shards
-exceed ROUND_BYTES together, they are applied in rounds of at most that size, with the
-rows stored in between, so a broadcast is bounded whatever the list's size. Repeated and
-very frequent keys cost nothing: only distinct keys are built from.
+bits a listed key. Every level draws its bits from all 128 bits of a key's hash, so its
+errors are independent of the other levels' and halve from level to level; what is left
+after LEVELS levels (as a rule nothing) ends the cascade as an explicit list.
+
+There are two cascades: one of the rules, whose number the caller bounds, and one of the
+list. Lookups run inside the scan against broadcast shards. If the list's shards exceed
+ROUND_BYTES together, the rows are written once, apart by the round that holds their
+shard, and every round reads its own rows alone: a broadcast is bounded whatever the
+list's size, and rows are read once. Repeated and very frequent keys cost nothing: only
+distinct keys are built from, and rows are never dealt by their key.
 
 Keys are told apart by 128 bits of hash. Cases: null urls and urls without "://" have an
-empty host and path, fit no rule and are not listed; a null or repeated page id is judged
-row by row; empty tables give empty results and an empty list lists nothing; extra
-columns of the pages are not returned.
+empty host and path, fit no rule and are not listed; very long urls are keys like others;
+a null or repeated page id is judged row by row; empty tables give empty results and an
+empty list lists nothing; extra columns of the pages are not returned.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
 from .shared import ascii_lower, stored
 from .textvec import mix
@@ -34,19 +41,24 @@ from .textvec import mix
 #: Rules of the query: (host and path prefix, verdict); a rule fits its host and all subdomains.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 SHARD_KEYS = 1 << 16
-#: Most bytes of cascades broadcast at once.
+#: Most bytes of cascades in one broadcast.
 ROUND_BYTES = 64 << 20
 
+#: Levels of Bloom filters at most; about log2 of the shard's keys are needed.
+LEVELS = 48
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _positions(h1: np.ndarray, h2: np.ndarray, level: int):
+    """Two hashes of the whole key for this level."""
     salt = np.uint64((level + 1) * int(_STEP) % (1 << 64))
-    return mix(h1 ^ mix(np.full(1, salt))[0]), mix(h2 + salt) | np.uint64(1)
+    a = mix(mix(h1 + salt) ^ h2)
+    return a, mix(mix(h2 ^ salt) + h1) | np.uint64(1)
 
 
 class Level:
-    """One Bloom filter: m bits, k positions a key."""
+    """One Bloom filter: m bits, k positions a key; or (m = 0) the listed keys themselves, 16 bytes each."""
 
     def __init__(self, m: int, k: int, number: int, bits: np.ndarray):
         self.m, self.k, self.number, self.bits = m, k, number, bits
@@ -62,7 +74,14 @@ class Level:
             a = a + b
         return cls(m, k, number, np.packbits(bits))
 
+    @classmethod
+    def explicit(cls, h1: np.ndarray, h2: np.ndarray, number: int) -> Level:
+        return cls(0, 0, number, np.stack([h1, h2], axis=1).view(np.uint8).ravel())
+
     def passes(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        if not self.m:
+            own = set(map(tuple, self.bits.view(np.uint64).reshape(-1, 2).tolist()))
+            return np.fromiter((key in own for key in zip(h1.tolist(), h2.tolist())), bool, len(h1))
         a, b = _positions(h1, h2, self.number)
         out = np.ones(len(h1), dtype=bool)
         for _ in range(self.k):
@@ -72,11 +91,14 @@ class Level:
         return out
 
 
-def build_cascade(h1: np.ndarray, h2: np.ndarray, listed: np.ndarray) -> list[Level]:
-    """The levels that tell the listed of these distinct keys from the others."""
+def build_cascade(h1: np.ndarray, h2: np.ndarray, listed: np.ndarray, most: int = LEVELS) -> list[Level]:
+    """The levels that tell the listed of these distinct keys from the others; the last is explicit if `most` don't do."""
     levels: list[Level] = []
     inside, outside = np.flatnonzero(listed), np.flatnonzero(~listed)
     while len(inside):
+        if len(levels) == most:
+            levels.append(Level.explicit(h1[inside], h2[inside], most))
+            break
         rate = min(0.5, math.sqrt(0.5) * len(inside) / max(1, len(outside))) if not levels else 0.5
         level = Level.build(h1[inside], h2[inside], max(rate, 2.0**-40), len(levels))
         levels.append(level)
@@ -123,39 +145,62 @@ def cascade(universe: DataFrame, listed: DataFrame, shard_keys: int = SHARD_KEYS
     return Cascade(stored(sharded.groupBy("shard").applyInPandas(build, "shard long, m array<long>, k array<long>, bits array<binary>")), n_shards)
 
 
-def with_hits(rows: DataFrame, found: Cascade, round_bytes: int = ROUND_BYTES) -> DataFrame:
-    """The rows (with array columns h1 and h2) plus hit array<boolean>: whether each key is listed."""
-    spark, n = rows.sparkSession, found.n_shards
-    rounds = max(1, math.ceil(found.bytes / round_bytes))
-    rows = rows.withColumn("hit", F.transform("h1", lambda _: F.lit(False)))
-    a, b, c = (rows.columns.index(x) for x in ("h1", "h2", "hit"))
+def _shipped(found: Cascade, r: int, rounds: int):
+    """This round's cascades by shard, broadcast: at most about ROUND_BYTES. Shards that list nothing are left out."""
+    own = {s["shard"]: (s["m"], s["k"], [bytes(x) for x in s["bits"]]) for s in found.shards.where((F.pmod("shard", F.lit(rounds)) == r) & (F.size("m") > 0)).toLocalIterator()}
+    return found.shards.sparkSession.sparkContext.broadcast(own)
+
+
+def _unpacked(shipped) -> dict[int, list[Level]]:
+    return {s: [Level(m, k, i, np.frombuffer(x, np.uint8)) for i, (m, k, x) in enumerate(zip(*v))] for s, v in shipped.value.items()}
+
+
+def _told(cascades: dict[int, list[Level]], n_shards: int, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    hit = np.zeros(len(h1), dtype=bool)
+    shard = h1 % n_shards
+    order = np.argsort(shard, kind="stable")
+    cuts = np.flatnonzero(np.diff(shard[order])) + 1
+    for group in np.split(order, cuts) if len(order) else []:
+        levels = cascades.get(int(shard[group[0]]))
+        if levels:
+            hit[group] = contains(levels, h1[group].view(np.uint64), h2[group].view(np.uint64))
+    return hit
+
+
+def with_hits(rows: DataFrame, found: Cascade, h1: str = "h1", h2: str = "h2", out: str = "hit", round_bytes: int = ROUND_BYTES) -> DataFrame:
+    """The rows plus `out`: whether the key with the hashes in columns h1 and h2 is listed."""
+    n, rounds = found.n_shards, max(1, math.ceil(found.bytes / round_bytes))
+    if rounds > 1:
+        rows = stored(rows.withColumn("_round", F.pmod(F.pmod(h1, F.lit(n)), F.lit(rounds)).cast("int")), partition_by="_round")
+    told = None
     for r in range(rounds):
-        own = {s["shard"]: (s["m"], s["k"], [bytes(x) for x in s["bits"]]) for s in found.shards.where(F.pmod("shard", F.lit(rounds)) == r).toLocalIterator()}
-        shipped = spark.sparkContext.broadcast(own)
+        part = rows.where(F.col("_round") == r).drop("_round") if rounds > 1 else rows
+        shipped = _shipped(found, r, rounds)
 
-        def run(batches, shipped=shipped, r=r):
-            levels = {s: [Level(m, k, i, np.frombuffer(x, np.uint8)) for i, (m, k, x) in enumerate(zip(*v))] for s, v in shipped.value.items()}
+        def run(batches, shipped=shipped):
+            cascades = _unpacked(shipped)
             for batch in batches:
-                lists = batch.column(a)
-                h1 = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                h2 = batch.column(b).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                hit = batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(bool)
-                shard = h1 % n
-                order = np.argsort(shard, kind="stable")
-                cuts = np.flatnonzero(np.diff(shard[order])) + 1
-                for group in np.split(order, cuts) if len(order) else []:
-                    s = int(shard[group[0]])
-                    if s in levels:
-                        hit[group] = contains(levels[s], h1[group].view(np.uint64), h2[group].view(np.uint64))
-                sizes = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))])
-                columns = list(batch.columns)
-                columns[c] = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(hit))
-                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-        rows = rows.mapInArrow(run, rows.schema)
-        if r + 1 < rounds:
-            rows = stored(rows)
-    return rows
+                a, b = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (h1, h2))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_told(cascades, n, a, b))], names=[*batch.schema.names, out])
+
+        part = part.mapInArrow(run, StructType([*part.schema.fields, StructField(out, BooleanType())]))
+        told = part if told is None else told.unionByName(part)
+    return told
+
+
+def with_rule_hits(rows: DataFrame, found: Cascade, h1: str, h2: str, out: str) -> DataFrame:
+    """The rows plus `out`, an array: whether each key of the array columns h1 and h2 is listed. One broadcast: for lists that the caller bounds."""
+    n, shipped = found.n_shards, _shipped(found, 0, 1)
+
+    def run(batches):
+        cascades = _unpacked(shipped)
+        for batch in batches:
+            a, b = (batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in (h1, h2))
+            sizes = np.concatenate([[0], np.cumsum(batch.column(h1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))])
+            hit = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(_told(cascades, n, a, b)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, hit], names=[*batch.schema.names, out])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, ArrayType(BooleanType()))]))
 
 
 def split_url(url) -> tuple:
@@ -172,24 +217,23 @@ def _probes(rules) -> list:
     return [F.concat(F.substring_index("host", ".", -labels), F.substring("path", 1, length)) for labels, length in shapes]
 
 
-def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", round_bytes: int = ROUND_BYTES) -> DataFrame:
     """(page_id, host, path, rule, verdict): the longest fitting rule's verdict, else block iff host + path is listed.
 
-    `listed` has a column key (host and path). Rules and list are told by one cascade.
+    `listed` has a column key (host and path).
     """
     host, path = split_url(F.col(url_col).cast("string"))
     urls = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
-    keys = F.array(*[F.concat(F.lit("rule:"), p) for p in _probes(rules)], F.concat(F.lit("url:"), F.col("host"), F.col("path")))
-    spark = pages.sparkSession
-    listing = spark.createDataFrame([(f"rule:{rule}",) for rule, _ in rules], "key string").unionByName(listed.where("key <> ''").select(F.concat(F.lit("url:"), F.col("key")).alias("key")))
-    found = cascade(urls.select(F.explode(F.array_distinct(keys)).alias("key")), listing)
-    asked = urls.select("*", F.transform(keys, lambda k: key_hashes(k)[0]).alias("h1"), F.transform(keys, lambda k: key_hashes(k)[1]).alias("h2"))
-    told = with_hits(asked, found).withColumn("keys", keys)
-    fitting = F.filter("keys", lambda k, i: F.get(F.col("hit"), i) & k.startswith("rule:"))
-    longest = F.array_max(F.transform(fitting, lambda k: F.struct(F.length(k).alias("n"), F.substring(k, 6, 1 << 20).alias("rule"))))["rule"]
+    probes, key = F.array(*_probes(rules)), F.concat("host", "path")
+    ruling = pages.sparkSession.createDataFrame([(rule,) for rule, _ in rules], "key string")
+    by_rule = cascade(urls.select(F.explode(F.array_distinct(probes)).alias("key")), ruling)
+    by_list = cascade(urls.select(key.alias("key")), listed.where("key <> ''").select("key"))
+    asked = urls.select("*", F.transform(probes, lambda k: key_hashes(k)[0]).alias("r1"), F.transform(probes, lambda k: key_hashes(k)[1]).alias("r2"), *[h.alias(f"h{i}") for i, h in enumerate(key_hashes(key), 1)])
+    told = with_hits(with_rule_hits(asked, by_rule, "r1", "r2", "fits"), by_list, round_bytes=round_bytes)
+    fitting = F.filter(probes, lambda k, i: F.get(F.col("fits"), i))
+    longest = F.array_max(F.transform(fitting, lambda k: F.struct(F.length(k).alias("n"), k.alias("rule"))))["rule"]
     verdicts = F.create_map(*[F.lit(x) for rule in rules for x in rule])
-    listed_here = F.when(F.element_at("hit", -1), "block").otherwise("allow")
-    return told.select(id_col, "host", "path", longest.alias("rule"), F.coalesce(F.try_element_at(verdicts, longest), listed_here).alias("verdict"))
+    return told.select(id_col, "host", "path", longest.alias("rule"), F.coalesce(F.try_element_at(verdicts, longest), F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict"))
 
 
 def stand_in_list(pages: DataFrame, url_col: str = "url") -> DataFrame:

@@ -75,7 +75,7 @@ def test_op1_cascade_is_exact():
 
 
 def test_op1_urls(spark):
-    urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/x?y", "http://example.org/en/12", "http://example.org/en", "http://xexample.org/es/", "http://a.com/fr/#f", "http://a.com/de/", "x://b.net/p?q", "x://b.net/p#q", "http://org/", "http://org"]
+    urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/x?y", "http://example.org/en/12", "http://example.org/en", "http://xexample.org/es/", "http://a.com/fr/#f", "http://a.com/de/", "x://b.net/p?q", "x://b.net/p#q", "http://org/", "http://org", "http://long.de/" + "p" * 100_000, "http://" + "h." * 20_000 + "com/fr/"]
     pages = spark.createDataFrame([(i % 12, u, "h") for i, u in enumerate(urls * 2)], "page_id long, url string, rule string")
     listed = spark.createDataFrame([("b.net/p",), ("",), (None,), ("not/there",)], "key string")
     got = collections.Counter((r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge_urls(pages, listed).collect())
@@ -92,14 +92,25 @@ def test_op1_urls(spark):
     assert url_filter.judge_urls(pages.limit(0), listed).count() == 0
 
 
+def test_op1_equal_halves_end():
+    g = np.random.default_rng(2)
+    h1, h2 = (g.integers(0, 1 << 63, 600).astype(np.uint64) for _ in range(2))
+    h1[:200], h2[200:400] = h1[0], h2[200]
+    for most in (url_filter.LEVELS, 3, 0):
+        for listed in (np.arange(600) % 2 == 0, np.arange(600) == 1, np.ones(600, bool)):
+            levels = url_filter.build_cascade(h1, h2, listed, most)
+            assert len(levels) <= min(most, 30) + (most < 30) and (url_filter.contains(levels, h1, h2) == listed).all()
+
+
 def test_op1_rounds(spark):
     keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
     found = url_filter.cascade(keys, keys.where("key like '%7'"), shard_keys=500)
     assert found.n_shards > 3
     h1, h2 = url_filter.key_hashes(F.col("key"))
-    rows = keys.select("key", F.array(h1).alias("h1"), F.array(h2).alias("h2"))
-    told = url_filter.with_hits(rows, found, round_bytes=found.bytes // 2).collect()
-    assert len(told) == 3000 and all(r["hit"][0] == r["key"].endswith("7") for r in told)
+    rows = keys.select("key", h1.alias("h1"), h2.alias("h2"))
+    for part in (1, 3):
+        told = url_filter.with_hits(rows, found, round_bytes=found.bytes // part + 1).collect()
+        assert len(told) == 3000 and all(r["hit"] == r["key"].endswith("7") for r in told)
 
 
 def brute_top(rows, k=20, step=20):
