@@ -233,20 +233,41 @@ def test_op3_rare_sharp_contexts(spark):
 
 
 def test_op4(spark):
-    pages = [(i, f"http://h/{i}", "body é " * (i % 7)) for i in range(1200)] + [(3, "http://h/3", "again"), (None, None, None), (5000, "u", None)]
-    a = spark.createDataFrame(pages, "page_id long, url string, html string")
+    pages = [(i, f"http://h/{i}", "body é " * (i % 7 if i != 333 else 40_000)) for i in range(1200)] + [(3, "http://h/3", "again"), (None, None, None), (None, None, None), (None, "u", "x"), (5000, "u", None)] + [(9, "http://h/9", "body é " * 2)] * 3
+    a = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("sha", F.lit("mine"))
     first = warc_fixity.replica(a)
     assert warc_fixity.audit(first, first).count() == 0
-    changed = [p for p in pages if p[0] != 5000]
-    changed = [(i, u, "X" + h[1:]) if i in (78, 1100) and h else (i, u, h) for i, u, h in changed] + [(4000, "new", "n")]
-    found = {(r["id"], r["status"]) for r in warc_fixity.audit(first, warc_fixity.replica(spark.createDataFrame(changed, a.schema))).collect()}
-    assert found == {(78, "corrupt"), (1100, "corrupt"), (4000, "extra"), (5000, "missing")}
+
+    def findings(changed, large=None):
+        second = warc_fixity.replica(spark.createDataFrame(changed, "page_id long, url string, html string"), large)
+        return sorted((r["id"] or -1, r["status"], r["copies"]) for r in warc_fixity.audit(first, second).collect())
+
+    assert findings([p for p in pages if p[0] != 400]) == [(400, "missing", 1)]  # in the middle of a file
+    changed = [p for p in pages if p[0] not in (5000, 20)]
+    changed = [(i, u, "X" + h[1:]) if i in (78, 1100) and h else (i, u, h) for i, u, h in changed] + [(4000, "new", "n"), (9, "http://h/9", "body é " * 2), (9, "http://h/9", "other")]
+    changed.remove((None, None, None))
+    assert findings(changed) == [(-1, "missing", 1), (9, "extra", 1), (9, "extra", 1), (20, "missing", 1), (78, "corrupt", 1), (1100, "corrupt", 1), (4000, "extra", 1), (5000, "missing", 1)]
+    swapped = first.withColumn("node", F.when((F.col("group") == 1) & (F.col("node") == 5), 6).when((F.col("group") == 1) & (F.col("node") == 6), 5).otherwise(F.col("node")))
+    swapped = warc_fixity._in_order(swapped.withColumnRenamed("node", "rank"), F.col("rank"))
+    assert [r["status"] for r in warc_fixity.audit(first, swapped).collect()] == ["moved", "moved"]
     assert warc_fixity.audit(first.limit(0), first.limit(0)).count() == 0
+    assert warc_fixity.audit(first, first.limit(0)).agg(F.sum("copies")).first()[0] == len(pages)
     back = a.where("page_id = 8").select(warc_fixity.warc_record(F.col("url"), F.col("html")).alias("r"))
     got = back.select(*[c.alias(n) for n, c in warc_fixity.parse_warc(F.col("r")).items()]).first()
     assert (got["url"], got["body"]) == ("http://h/8", "body é ")
 
 
+def test_op4_hot_ids_split(spark):
+    pages = [(None, f"u{i}", "b") for i in range(300)] + [(7, "u", f"b{i}") for i in range(300)] + [(8, "u", "b")] * 500
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    first = warc_fixity.replica(frame, file_records=50)
+    sizes = first.groupBy("group", "part").agg(F.count("*").alias("n"), F.sum("copies").alias("all")).collect()
+    assert len(sizes) >= 10 and max(r["n"] for r in sizes) < 100 and sum(r["all"] for r in sizes) == len(pages)
+    large = warc_fixity.layout(warc_fixity.runs(warc_fixity.digests(frame)), 50)
+    less = warc_fixity.replica(spark.createDataFrame([p for p in pages if p[1] != "u17" and p[2] != "b33"], frame.schema), large)
+    assert sorted((r["id"] or 0, r["status"], r["copies"]) for r in warc_fixity.audit(first, less).collect()) == [(0, "missing", 1), (7, "missing", 1)]
+
+
 def shingle_set(t, n):
     w = (t or "").encode().lower().split()
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
