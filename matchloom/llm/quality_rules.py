@@ -2,19 +2,25 @@
 
 Every text gets a handful of rates (symbols, repeated words, upper case, ...). For
 each stratum and rule, cutoffs are tested on the labelled documents from the most
-lenient to the strictest: the exact binomial tail P(X <= k | n, alpha), k of n good
-documents rejected, is the p-value of "this cutoff rejects over alpha of the good".
-The test of a (stratum, rule) stops at the first cutoff that is not significant at
-delta / (strata * rules) - fixed-sequence testing inside, Bonferroni across - so all
-certified cutoffs hold together with probability 1 - delta. Of those certified, the
-one with the best gain (bad rejected less `price` times good rejected) is applied.
+lenient to the strictest: the exact binomial tail P(X <= k | n, alpha / rules), k of n
+good documents rejected, is the p-value of "this cutoff rejects over alpha / rules of
+the good". The test of a (stratum, rule) stops at the first cutoff that is not
+significant at delta / (strata * rules) - fixed-sequence testing inside, Bonferroni
+across - so with probability 1 - delta all certified cutoffs hold together, and then
+the rules of a stratum reject at most alpha of its good documents between them. Of
+those certified, the one with the best gain (bad rejected less `price` times good
+rejected) is applied.
+
+The cutoffs are a table with a row a stratum, tested in small tasks and joined to the
+texts' rates (broadcast up to BROADCAST_STRATA strata), so their number has no limit.
 
 Cases: a null text counts as empty (0 words, so the base rule rejects it); a null
-stratum is a stratum of its own; strata beyond the MAX_STRATA with most labels are
-pooled; a stratum without enough labels gets no cutoffs (only the base rule); of
-several labels of a document the smallest quality holds; labels that are null or of
-unknown documents are ignored; repeated rows are judged one by one; empty tables
-give empty results; extra columns pass through untouched.
+stratum is a stratum of its own; a stratum without enough labels gets no cutoffs
+(only the base rule); of several labels of a document the smallest quality holds;
+rows with the same id count once for the test (the least of their rates) and are judged
+one by one; labels that are null or of unknown documents are ignored; very long texts are
+rated whole; empty tables give empty results; extra columns pass through untouched,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -22,18 +28,21 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .shared import documents, stored
+from .shared import documents, stored, whole_row
 from .textvec import SPACE, buffer_of, hash_spans, mix, owner, segment_sum, slices, spans, windows
 
-#: Parameters: largest share of good documents a rule may reject in a stratum, chance that any certificate is wrong.
-ALPHA, DELTA = 0.01, 0.05
+#: Parameters: largest share of good documents that the rules may reject in a stratum, chance that any certificate is wrong.
+ALPHA, DELTA = 0.05, 0.05
 #: Good documents that one rejected bad document outweighs.
 PRICE = 20
-MAX_STRATA = 256
+#: Strata whose cutoffs are broadcast at most (about 60 bytes each).
+BROADCAST_STRATA = 1 << 16
 BINS = 64
 #: Words a text must have, and the largest share of words in repeated 3-word windows.
 MIN_WORDS, MAX_REPEAT = 50, 0.5
@@ -157,92 +166,78 @@ def certified(good: np.ndarray, bad: np.ndarray, alpha: float, log_level: float,
     return chosen
 
 
-def fit(rates: DataFrame, labels: DataFrame, id_col: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE) -> dict:
-    """Cutoffs by (stratum, rule): {stratum: {rule: bin}}, with "" -> known strata under "strata".
+def _stratum(column):
+    """Strata as keys that are never null."""
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
 
-    Only counts by (stratum, rule, bin) reach the driver: at most (MAX_STRATA + 1) *
-    len(RULES) * (BINS + 1) rows whatever the tables' sizes.
-    """
+
+def fit(rates: DataFrame, labels: DataFrame, id_col: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA, price: float = PRICE) -> DataFrame:
+    """(_stratum, a column of bins by rule): the certified cutoffs; null where a rule has none."""
     judged = labels.where("quality is not null").groupBy(F.col(id_col).alias("label_id")).agg(F.min("quality").alias("quality"))
     joined = rates.join(judged, F.col(id_col) == F.col("label_id"))
-    bins = [F.struct(F.lit(name).alias("rule"), F.floor(F.col(rate) * BINS).cast("int").alias("bin")) for name, (rate, _) in RULES.items()]
+    once = joined.groupBy("label_id").agg(F.min(F.struct(_stratum(F.col("stratum")).alias("_stratum"), "quality", *RATES)).alias("d")).select("d.*")
+    bins = [F.struct(F.lit(name).alias("rule"), _level(rate).alias("bin")) for name, (rate, _) in RULES.items()]
     counted = stored(
-        joined.select("stratum", "quality", F.explode(F.array(*bins)).alias("b"))
-        .groupBy("stratum", F.col("b.rule").alias("rule"), F.col("b.bin").alias("bin"))
+        once.select("_stratum", "quality", F.explode(F.array(*bins)).alias("b"))
+        .groupBy("_stratum", F.col("b.rule").alias("rule"), F.col("b.bin").alias("bin"))
         .agg(F.sum((F.col("quality") >= 1).cast("long")).alias("good"), F.sum((F.col("quality") < 1).cast("long")).alias("bad"))
     )
-    one = next(iter(RULES))
-    sizes = counted.where(F.col("rule") == one).groupBy("stratum").agg(F.sum("good").alias("n"))
-    strata = {r["stratum"] for r in sizes.orderBy(F.desc("n"), F.col("stratum").asc_nulls_last()).limit(MAX_STRATA).collect()}
-    known = counted.join(F.broadcast(counted.sparkSession.createDataFrame([(s, True) for s in strata], "s string, own boolean")), F.col("stratum").eqNullSafe(F.col("s")), "left") if strata else None
-    out: dict = {"strata": strata, "cutoffs": {}}
-    if known is None:
-        return out
-    pooled = known.groupBy(F.coalesce("own", F.lit(False)).alias("own"), F.when(F.col("own"), F.col("stratum")).alias("stratum"), "rule", "bin").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    tables: dict = {}
-    for r in pooled.collect():
-        tables.setdefault((r["own"], r["stratum"]), {}).setdefault(r["rule"], []).append((r["bin"], r["good"], r["bad"]))
-    log_level = math.log(delta / (max(len(tables), 1) * len(RULES)))
-    for (own, stratum), rules in tables.items():
-        for name, rows in rules.items():
-            good, bad = np.zeros(BINS + 1, np.int64), np.zeros(BINS + 1, np.int64)
-            for b, g, x in rows:
-                good[min(max(b, 0), BINS)] += g
-                bad[min(max(b, 0), BINS)] += x
-            sign = RULES[name][1]
-            chosen = certified(good[::-sign], bad[::-sign], alpha, log_level, price)
-            if chosen is not None:
-                out["cutoffs"].setdefault((own, stratum), {})[name] = BINS - chosen if sign > 0 else chosen
-    return out
+    strata = counted.select("_stratum").distinct().count()
+    log_level, share = math.log(delta / (max(strata, 1) * len(RULES))), alpha / len(RULES)
+
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = {"_stratum": [pdf["_stratum"].iloc[0]]}
+        for name, (_, sign) in RULES.items():
+            rows = pdf[pdf["rule"] == name]
+            good, bad = (np.bincount(rows["bin"], weights=rows[c], minlength=BINS + 1).astype(np.int64) for c in ("good", "bad"))
+            chosen = certified(good[::-sign], bad[::-sign], share, log_level, price)
+            out[name] = pd.array([None if chosen is None else BINS - chosen if sign > 0 else chosen], dtype="Int32")
+        return pd.DataFrame(out)
+
+    return stored(counted.groupBy("_stratum").applyInPandas(test, "_stratum string, " + ", ".join(f"{name} int" for name in RULES)))
+
+
+def _level(rate: str):
+    return F.least(F.greatest(F.floor(F.col(rate) * BINS).cast("int"), F.lit(0)), F.lit(BINS))
 
 
 def base_failed(n_words, n_repeat):
     return (n_words < MIN_WORDS) | (100 * n_repeat > 100 * MAX_REPEAT * n_words)
 
 
-def verdict(model: dict, stratum: list, found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(base_failed, kept) of texts with these features."""
-    failed = base_failed(found["n_words"], found["n_repeat_words"])
-    kept = ~failed
-    keys = [(True, s) if s in model["strata"] else (False, None) for s in stratum]
-    for key in set(keys):
-        rules = model["cutoffs"].get(key)
-        if not rules:
-            continue
-        mine = np.fromiter((k == key for k in keys), bool, len(keys))
-        for name, cut in rules.items():
-            rate, sign = RULES[name]
-            level = np.floor(found[rate] * BINS)
-            kept &= ~(mine & ((level >= cut) if sign > 0 else (level <= cut)))
-    return failed, kept
-
-
-def judge(rates: DataFrame, model: dict, id_col: str = "doc_id") -> DataFrame:
-    """The rated documents with base_failed and kept."""
-    kind = rates.schema[id_col].dataType.simpleString()
+def judged(rows: DataFrame, model: DataFrame, broadcast_strata: int = BROADCAST_STRATA) -> DataFrame:
+    """The rows (_stratum, counts, rates, ...) with base_failed and kept."""
+    cuts = model.select(F.col("_stratum").alias("_of"), *[F.col(name).alias(f"_cut_{name}") for name in RULES])
+    cuts = F.broadcast(cuts) if model.count() <= broadcast_strata else cuts
+    rejected = F.lit(False)
+    for name, (rate, sign) in RULES.items():
+        cut = F.col(f"_cut_{name}")
+        rejected |= F.coalesce((_level(rate) >= cut) if sign > 0 else (_level(rate) <= cut), F.lit(False))
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    joined = rows.join(cuts, F.col("_stratum") == F.col("_of"), "left")
+    return joined.withColumns({"base_failed": failed, "kept": ~failed & ~rejected}).drop("_of", *[f"_cut_{name}" for name in RULES])
 
-    def run(batches):
-        for batch in batches:
-            found = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in [*COUNTS, *RATES]}
-            failed, kept = verdict(model, batch.column("stratum").to_pylist(), found)
-            arrays = [batch.column(id_col), *(batch.column(c) for c in COUNTS), pa.array(failed), pa.array(kept)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, *COUNTS, "base_failed", "kept"])
 
-    columns = ", ".join(f"{c} long" for c in COUNTS)
-    return rates.select(id_col, "stratum", *COUNTS, *RATES).mapInArrow(run, f"{id_col} {kind}, {columns}, base_failed boolean, kept boolean")
+def judge(rates: DataFrame, model: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rated documents with base_failed and kept."""
+    return judged(rates.withColumn("_stratum", _stratum(F.col("stratum"))), model).select(id_col, *COUNTS, "base_failed", "kept")
 
 
-def keep_good(docs: DataFrame, model: dict, text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """The documents that the base rule and the certified cutoffs keep, all columns as they were; no shuffle."""
-    text, stratum = docs.columns.index(text_col), docs.columns.index(stratum_col)
+def keep_good(docs: DataFrame, model: DataFrame, text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """The documents that the base rule and the certified cutoffs keep, all columns as they were; no shuffle of texts."""
+    text = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text_col):
-                _, kept = verdict(model, part.column(stratum).to_pylist(), features(part.column(text)))
-                yield part.filter(pa.array(kept))
-
-    return docs.mapInArrow(run, docs.schema)
+            column = batch.column(1).field(text)
+            for part in slices(pa.RecordBatch.from_arrays([*batch.columns, column.cast(pa.string())], names=["_stratum", "_in", "text"]), "text"):
+                found = features(part.column(2))
+                arrays = [part.column(0), part.column(1), *(pa.array(found[c].astype(np.int64)) for c in COUNTS), *(pa.array(found[r], pa.float64()) for r in RATES)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["_stratum", "_in", *COUNTS, *RATES])
+
+    rows = docs.select(_stratum(F.col(f"`{stratum_col}`")).alias("_stratum"), whole_row(docs).alias("_in"))
+    rated_rows = rows.mapInArrow(run, StructType([*rows.schema.fields, *[StructField(c, LongType()) for c in COUNTS], *[StructField(r, DoubleType()) for r in RATES]]))
+    return judged(rated_rows, model).where("kept").select("_in.*")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

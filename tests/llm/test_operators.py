@@ -441,20 +441,76 @@ def test_op8_bound():
     assert quality_rules.certified(np.array([0, 0, 50]), np.array([9, 9, 0]), 0.01, math.log(1e-4), 20) is None
 
 
+def brute_verdict(rates, labels):
+    """(strata, rule) -> cutoff and doc -> kept, by plain loops over documents."""
+    quality = {}
+    for i, q, _ in labels:
+        if q is not None:
+            quality[i] = min(q, quality.get(i, 9))
+    once = {}
+    for r in rates:
+        key = (r["stratum"] or "", quality.get(r["doc_id"]), *[r[c] for c in quality_rules.RATES])
+        if r["doc_id"] in quality:
+            once[r["doc_id"]] = min(key, once.get(r["doc_id"], key))
+    strata = {d[0] for d in once.values()}
+    level = 0.05 / (max(1, len(strata)) * len(quality_rules.RULES))
+    cutoffs = {}
+    for s in strata:
+        for name, (rate, sign) in quality_rules.RULES.items():
+            bins = [(min(64, int(d[2 + quality_rules.RATES.index(rate)] * 64)), d[1]) for d in once.values() if d[0] == s]
+            n, best = sum(q >= 1 for _, q in bins), 0
+            for cut in range(64, -1, -1) if sign > 0 else range(65):
+                hit = [q for b, q in bins if (b >= cut if sign > 0 else b <= cut)]
+                k, p = sum(q >= 1 for q in hit), quality_rules.ALPHA / len(quality_rules.RULES)
+                term = tail = (1 - p) ** n
+                for j in range(k):
+                    term *= (n - j) / (j + 1) * p / (1 - p)
+                    tail += term
+                if n == 0 or tail > level:
+                    break
+                gain = len(hit) - k - quality_rules.PRICE * k
+                if gain > best:
+                    best, cutoffs[s, name] = gain, cut
+    kept = collections.Counter()
+    for r in rates:
+        ok = r["n_words"] >= 50 and 100 * r["n_repeat_words"] <= 50 * r["n_words"]
+        for name, (rate, sign) in quality_rules.RULES.items():
+            cut = cutoffs.get((r["stratum"] or "", name))
+            b = min(64, int(r[rate] * 64))
+            ok &= cut is None or not (b >= cut if sign > 0 else b <= cut)
+        kept[r["doc_id"], ok] += 1
+    return cutoffs, kept
+
+
 def test_op8_fit(spark):
-    texts = [" ".join(rng.choice(WORDS[:5]) + str(rng.random()) for _ in range(60)) for _ in range(900)]
+    texts = [" ".join(rng.choice(WORDS[:5]) + str(rng.random()) for _ in range(60)) for _ in range(1300)]
     texts += ["### $$$ " + t for t in [" ".join(f"{x}###" for x in t.split()) for t in texts[:100]]] + ODD
-    frame = table(spark, texts).withColumn("lang", F.lit("en")).withColumn("quality", F.lit("x"))
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(900)] + [(i, 0, 0) for i in range(900, 1000)] + [(5000, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    rows = [(i, t, "en" if i % 13 or i >= 1300 else ["de", None][i % 2], "x", "y") for i, t in enumerate(texts)]
+    rows += rows[:40] + [(3, rows[1350][1], "en", "x", "y")]  # repeated rows, and another text with a known id
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, kept string, _in string")
+    labels = [(i, 1, 0) for i in range(1300)] + [(i, 0, 0) for i in range(1300, 1400)] + [(50000, 1, 0), (3, None, 0), (1305, 1, 0)]
+    label_frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     rates = quality_rules.rated(frame)
-    model = quality_rules.fit(rates, labels)
-    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(rates, model).collect()}
-    assert all(kept[i] for i in range(900)) and not any(kept[i] for i in range(900, 1000))
-    assert {r["doc_id"] for r in quality_rules.keep_good(frame, model).collect()} == {i for i, k in kept.items() if k}
-    none = quality_rules.fit(rates.limit(0), labels)
+    model = quality_rules.fit(rates, label_frame)
+    cutoffs, kept = brute_verdict(rates.collect(), labels)
+    assert cutoffs and {(r["_stratum"][1:], c): r[c] for r in model.collect() for c in quality_rules.RULES if r[c] is not None} == cutoffs
+    assert collections.Counter((r["doc_id"], r["kept"]) for r in quality_rules.judge(rates, model).collect()) == kept
+    assert not any(kept[i, True] for i in range(1300, 1400))
+    for few in (quality_rules.BROADCAST_STRATA, 0):  # broadcast and join
+        good = quality_rules.judged(rates.withColumn("_stratum", quality_rules._stratum(F.col("stratum"))), model, few)
+        assert good.where("kept").count() == sum(n for (_, ok), n in kept.items() if ok)
+    good = quality_rules.keep_good(frame, model)
+    assert good.columns == frame.columns and collections.Counter(r["doc_id"] for r in good.collect()) == collections.Counter({i: n for (i, ok), n in kept.items() if ok})
+    none = quality_rules.fit(rates.limit(0), label_frame)
     assert quality_rules.judge(rates, none).where("kept").count() == quality_rules.judge(rates, none).where("not base_failed").count()
 
 
+def test_op8_many_strata(spark):
+    rates = quality_rules.rated(table(spark, [prose(60) for _ in range(400)]).withColumn("lang", F.col("doc_id").cast("string")))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    assert quality_rules.fit(rates, labels).count() == 400  # none is pooled
+
+
 def test_op9(spark):
     texts = ODD + ["Licensed under CC BY-NC 4.0. All rights reserved", "the GNU General Public License, version 3 / cc  by CC-BY", "ccby general public licenses", "MIT License and the MIT license", "© CC BY é"]
     for t in texts:
