@@ -9,9 +9,12 @@ bounds how far the frontier ever moves: tokens that end at least that far before
 of the buffer are final whatever follows. A merge list is assumed proper (a merge's parts
 are made by earlier merges), as every trained list is.
 
-The encoder keeps a buffer of a few lookaheads, emits what is final and forgets it. Words
-that fit in the buffer go through a bounded cache. The decoder is a state machine that
-takes ids in any portions and keeps at most an unfinished UTF-8 character.
+The encoder keeps a buffer of a few lookaheads, emits what is final and forgets it; ids
+come out in portions, and words are taken from the text one after another. Words that fit
+in the buffer go through a bounded cache. The decoder is a state machine that takes ids in
+any portions and keeps at most an unfinished UTF-8 character. So beyond the text itself
+(and, for vocabularies that normalise, its normalised copy) `fingerprints` needs constant
+memory; `transcode` holds a row's ids and decoded text, since it returns them.
 
 Cases: a null text counts as empty and gives no ids and an empty text; the strings of
 special tokens in a text become their ids, as the public library does by default; very
@@ -22,11 +25,15 @@ result; extra columns of the input are not returned.
 from __future__ import annotations
 
 import codecs
+import hashlib
+import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +45,9 @@ from .shared import documents
 from .textvec import slices
 
 #: Entries of one generation of the word cache (two are kept), and the longest word in it.
-CACHE_WORDS, CACHE_LENGTH = 100_000, 64
+CACHE_WORDS, CACHE_LENGTH = 300_000, 64
+#: Symbols from which merges are taken from a heap; ids in one portion.
+HEAP_SYMBOLS, PORTION = 48, 1 << 16
 _END = ""
 #: The split pattern that the byte-level pre-tokenizer uses when it has none of its own (a fixed value).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -132,6 +141,8 @@ class Vocabulary:
 
     def merged(self, symbols: list[str]) -> list[str]:
         """All merges on these symbols, in the order of their ranks, left to right."""
+        if len(symbols) >= HEAP_SYMBOLS:
+            return self._merged_by_heap(symbols)
         rank, none = self.ranks.get, len(self.ranks)
         out = list(symbols)
         levels = [rank(p, none) for p in zip(out, out[1:])]
@@ -148,6 +159,28 @@ class Vocabulary:
                 levels[i] = rank((out[i], out[i + 1]), none)
         return out
 
+    def _merged_by_heap(self, symbols: list[str]) -> list[str]:
+        """The same in O(n log n): a linked list of the symbols, and a heap of (rank, place) of neighbours."""
+        rank, n = self.ranks.get, len(symbols)
+        out, after, before = list(symbols), [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(r, i) for i, p in enumerate(zip(out, out[1:])) if (r := rank(p)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if j < 0 or out[i] is None or rank((out[i], out[j])) != r:
+                continue  # one of the two was merged since
+            out[i], out[j] = out[i] + out[j], None
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (new := rank((out[i], out[k]))) is not None:
+                    heapq.heappush(heap, (new, i))
+            k = before[i]
+            if k >= 0 and (new := rank((out[k], out[i]))) is not None:
+                heapq.heappush(heap, (new, k))
+        return [x for x in out if x is not None]
+
     def stream(self, symbols: Iterable[str]) -> Iterator[str]:
         """The tokens of one word's symbols, each as soon as it is final; memory is a window."""
         buffer: list[str] = []
@@ -167,18 +200,45 @@ class Vocabulary:
     def _width(token: str) -> int:
         return len(token) - token.endswith(_END)
 
+    def _symbols(self, word: str) -> Iterator[str]:
+        for at in range(0, len(word), PORTION):
+            part = [self.table[b] for b in word[at : at + PORTION].encode("utf-8", "replace")]
+            if self.suffix and at + PORTION >= len(word):
+                part[-1] += _END
+            yield from part
+
     def _word(self, word: str) -> bytes:
-        symbols = [self.table[b] for b in word.encode("utf-8", "replace")]
+        if len(word) >= self.window:
+            return np.array([self.ids[t] for t in self.stream(self._symbols(word))], dtype="<u4").tobytes()
+        symbols = [*map(self.table.__getitem__, word.encode("utf-8", "replace"))]
         if self.suffix:
             symbols[-1] += _END
-        tokens = self.merged(symbols) if len(symbols) < self.window else self.stream(symbols)
-        return np.array([self.ids[t] for t in tokens], dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit integers."""
-        out = []
-        for k, part in enumerate(self.splits_special.split(text) if self.splits_special else [text]):
-            if k % 2:
+        tokens = self.merged(symbols)
+        return struct.pack(f"<{len(tokens)}I", *map(self.ids.__getitem__, tokens))
+
+    def _runs(self, part: str) -> Iterator[list[str]]:
+        """The part's words in lists; of a long part, a list at a time."""
+        if len(part) <= PORTION:
+            yield self.pattern.findall(part)
+            return
+        found = self.pattern.finditer(part)
+        while some := [m.group() for m in islice(found, PORTION >> 3)]:
+            yield some
+
+    def _parts(self, text: str) -> Iterator[tuple[str, bool]]:
+        """The text's parts, and whether each is the string of a special token."""
+        at = 0
+        for m in self.splits_special.finditer(text) if self.splits_special else ():
+            yield text[at : m.start()], False
+            yield m.group(), True
+            at = m.end()
+        yield text[at:] if at else text, False
+
+    def portions(self, text: str) -> Iterator[bytes]:
+        """The text's ids as little-endian unsigned 32-bit integers, in portions of about PORTION ids at most."""
+        out, size = [], 0
+        for part, special in self._parts(text):
+            if special:
                 out.append(np.array([self.special[part]], dtype="<u4").tobytes())
                 continue
             if self.nfc and not part.isascii():
@@ -188,8 +248,25 @@ class Vocabulary:
                     if not (content == " " and pattern.pattern == r"\s+"):  # the split drops white space anyway
                         part = pattern.sub(content, part)
                 part = part.replace("Σ", "σ").lower()  # by character, without the final sigma
-            out += map(self.words.__getitem__, self.pattern.findall(part))
-        return b"".join(out)
+            for words in self._runs(part):
+                if len(part) <= PORTION or max(map(len, words)) <= PORTION:
+                    packed = b"".join(map(self.words.__getitem__, words))
+                    out.append(packed)
+                    size += len(packed)
+                else:
+                    for word in words:
+                        tokens = self.stream(self._symbols(word))
+                        while some := [self.ids[t] for t in islice(tokens, PORTION)]:
+                            yield b"".join(out)
+                            out, size = [np.array(some, dtype="<u4").tobytes()], 4 * len(some)
+                if size >= 4 * PORTION:
+                    yield b"".join(out)
+                    out, size = [], 0
+        yield b"".join(out)
+
+    def encode(self, text: str) -> bytes:
+        """All ids of the text."""
+        return b"".join(self.portions(text))
 
 
 class Decoder:
@@ -251,15 +328,33 @@ def transcode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"{id_col} {kind}, ids binary, decoded string")
 
 
+def fingerprints(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): the digests of what transcode returns, from streams of ids."""
+    shipped = _shipped(docs.sparkSession, path)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def one(v: Vocabulary, text: str):
+        machine, n, ids, decoded = Decoder(v), 0, hashlib.sha256(), hashlib.sha256()
+        for portion in v.portions(text):
+            ids.update(portion)
+            decoded.update(machine.feed(np.frombuffer(portion, dtype="<u4")).encode("utf-8", "replace"))
+            n += len(portion) // 4
+        decoded.update(machine.finish().encode("utf-8", "replace"))
+        return n, ids.hexdigest(), decoded.hexdigest()
+
+    def run(batches):
+        v = _parsed(shipped.value)
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                n, ids, texts = zip(*[one(v, t or "") for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     if vocabulary is None:
         import public_tokenizers
 
         vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    coded = transcode(documents(spark, sf_dir), vocabulary)
-    return coded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return fingerprints(documents(spark, sf_dir), vocabulary)

@@ -584,15 +584,43 @@ def test_op10(name):
     for t in texts:
         ids = library.encode(t, add_special_tokens=False).ids
         packed = mine.encode(t)
+        assert b"".join(mine.portions(t)) == packed
         assert np.frombuffer(packed, "<u4").tolist() == ids
         for portion in (1, 7, 1 << 16):
             assert bpe_transducer.decode(mine, packed, portion) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_op10_long_words_and_heap(monkeypatch):
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    texts = ["".join(rng.choice("aeinorst") for _ in range(80_000)), "é" * 3000 + " " + "日本" * 900, prose(400) + "<|endoftext|>" + prose(30)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        library = Tokenizer.from_file(P.path(name))
+        with open(P.path(name), "rb") as f:
+            mine = bpe_transducer.Vocabulary(f.read())
+        whole = []
+        for portion in (1 << 16, 100):
+            monkeypatch.setattr(bpe_transducer, "PORTION", portion)
+            whole.append([mine.encode(t) for t in texts])
+            assert portion > 100 or max(len(p) for t in texts for p in mine.portions(t)) < 4 * 4000
+        assert whole[0] == whole[1] == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        symbols = [mine.table[b] for b in "".join(rng.choice("aeinorst ") for _ in range(3000)).encode()]
+        by_heap = mine.merged(symbols)
+        monkeypatch.setattr(bpe_transducer, "HEAP_SYMBOLS", 1 << 30)
+        assert mine.merged(symbols) == by_heap
+        monkeypatch.setattr(bpe_transducer, "HEAP_SYMBOLS", 48)
+
+
 def test_op10_frame(spark):
     P = pytest.importorskip("public_tokenizers")
     frame = table(spark, ODD).withColumn("ids", F.lit(1))
     out = bpe_transducer.transcode(frame, P.path("word_bpe_49k.json")).collect()
     assert len(out) == len(ODD) and {r["doc_id"]: bytes(r["ids"]) for r in out}[0] == b""
     assert hashlib.sha256(b"").hexdigest() == hashlib.sha256(bytes(out[1]["ids"])).hexdigest()
+    digests = {r["doc_id"]: r for r in bpe_transducer.fingerprints(frame, P.path("word_bpe_49k.json")).collect()}
+    for r in out:
+        d = digests[r["doc_id"]]
+        assert (d["n_tokens"], d["ids_sha256"], d["decoded_sha256"]) == (len(r["ids"]) // 4, hashlib.sha256(bytes(r["ids"])).hexdigest(), hashlib.sha256(r["decoded"].encode()).hexdigest())
     assert bpe_transducer.transcode(frame.limit(0), P.path("word_bpe_49k.json")).count() == 0
+    assert bpe_transducer.fingerprints(frame.limit(0), P.path("word_bpe_49k.json")).count() == 0
