@@ -13,17 +13,23 @@ sample only saves work; every candidate is examined and results are exact.
 Queries go in passes of at most PASS_BYTES, broadcast, over all candidates; candidates
 are never shuffled. Per pass only each partition's best k a query move.
 
-Cases: vectors that are null or hold null or non-finite components, and rows without an
-id, take no part; vectors meet vectors of their own length only (empty ones score 0);
-ties go to the smaller vec_id; scores beyond 64 bits saturate
-before they are ranked; of several rows with a query's id the smallest vector is
-the query, and no row with that id is its candidate; other repeated rows each take a
-rank; empty tables give empty results; extra columns are
-ignored.
+Sums are exact in doubles where both vectors are narrow: components of at most
+2**26 / sqrt(dimensions). Pairs with a wide vector are pruned in the same way with the
+rounding error added to the bound, and their survivors are summed in whole numbers, so a
+few wide rows cost what they cost and change nothing for the others.
+
+Cases: vectors that are null, or hold null or non-finite components (before or after
+scaling), and rows without an id, take no part; vectors meet vectors of their own length
+only (empty ones score 0), of any number of dimensions; ties go to the smaller vec_id;
+scores beyond 64 bits saturate before they are ranked; of several rows with a query's id
+the smallest vector is the query, and no row with that id is its candidate; other repeated
+rows each take a rank; empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from operator import mul
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,37 +47,38 @@ DIMS, BLOCK, BATCH = 16, 4096, 256
 #: Candidates in the sample that gives the first thresholds, and bytes of queries in one pass.
 SAMPLE, PASS_BYTES = 2048, 32 << 20
 _MAX, _MIN = (1 << 63) - 1, -(1 << 63)
+#: Components beyond this have no usable squares in doubles.
+_HUGE = 1e150
 
 
-def quantised(rows: list) -> np.ndarray:
-    """floor(SCALE * x) of vectors of one length: float64 if all sums are exact in it, else Python integers."""
-    wide = np.floor(SCALE * np.asarray(rows, dtype=np.float64))
-    return wide if not wide.size or np.abs(wide).max() < 2.0**23 else np.vectorize(int, otypes=[object])(wide)
+def wide(rows: np.ndarray) -> np.ndarray:
+    """Which rows (quantised) are too large for exact sums in doubles, even with others that are not."""
+    return np.abs(rows).max(axis=1, initial=0.0) > 2.0**26 / np.sqrt(max(1, rows.shape[1]))
 
 
-def _exact(a: np.ndarray, b: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    if a.dtype == object or b.dtype == object or dims > 128:
-        whole = lambda x: x if x.dtype == object else np.vectorize(int, otypes=[object])(x)
-        return whole(a), whole(b)
-    return a, b
+def _whole(queries: np.ndarray, q: np.ndarray, vertical: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Saturated integer scores of these pairs."""
+    left = {i: [int(x) for x in queries[i]] for i in np.unique(q).tolist()}
+    right = {i: [int(x) for x in vertical[:, i]] for i in np.unique(c).tolist()}
+    return np.array([min(max(sum(map(mul, left[i], right[j])), _MIN), _MAX) for i, j in zip(q.tolist(), c.tolist())], dtype=np.int64)
 
 
-def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_ids: np.ndarray, vertical: np.ndarray, k: int):
+def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_ids: np.ndarray, vertical: np.ndarray, exact: bool = True):
     """(query index, candidate index, score) of all pairs that can be in a query's best k of this block.
 
-    queries: (n, dims); vertical: (dims, m); floors: per query, a lower bound of its k-th best score.
+    queries: (n, dims); vertical: (dims, m); floors: per query, a lower bound of its k-th
+    best score; exact: whether all sums are exact in doubles.
     """
-    dims = len(vertical)
-    if dims == 0 or vertical.dtype == object or queries.dtype == object:
-        queries, vertical = _exact(queries, vertical, dims)
-        full = queries.dot(vertical) if dims else np.zeros((len(queries), vertical.shape[1]))
-        full = np.clip(full, _MIN, _MAX) if full.dtype == object else full  # saturated before ranking
-        q, c = np.nonzero((full >= floors[:, None]) & (q_ids[:, None] != c_ids[None, :]))
-        return q, c, full[q, c]
+    dims, other = len(vertical), q_ids[:, None] != c_ids[None, :]
+    if dims == 0 or not exact and max(np.abs(queries).max(initial=0.0), np.abs(vertical).max(initial=0.0)) > _HUGE:
+        q, c = np.nonzero(other)
+        return q, c, _whole(queries, q, vertical, c)
     # Mass left after each block of dimensions; rounded up a little, as bounds must not be too low.
     slack = 1 + 1e-9
     left_c = np.sqrt(np.cumsum((vertical**2)[::-1], axis=0)[::-1]) * slack
     left_q = np.sqrt(np.cumsum((queries**2)[:, ::-1], axis=1)[:, ::-1]) * slack
+    error = np.zeros(len(queries)) if exact else left_q[:, 0] * (dims * 2.0**-50)
+    most = left_c[0]
     alive = np.arange(vertical.shape[1])
     partial = np.zeros((len(queries), len(alive)))
     at = 0
@@ -80,15 +87,15 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_i
         partial += queries[:, at:end] @ vertical[at:end, alive]
         at = end
         if at < dims:
-            can = partial + left_q[:, at, None] * left_c[at, alive] >= floors[:, None]
+            can = partial + left_q[:, at, None] * left_c[at, alive] + error[:, None] * most[alive] >= floors[:, None]
             stay = can.any(axis=0)
             if stay.mean() < 0.9:
                 alive, partial, can = alive[stay], partial[:, stay], can[:, stay]
             if can.mean() < 0.1:
                 break
     if at == dims:
-        can = partial >= floors[:, None]
-    can &= q_ids[:, None] != c_ids[alive][None, :]
+        can = partial + error[:, None] * most[alive] >= floors[:, None]
+    can &= other[:, alive]
     q, c = np.nonzero(can)
     score, c = partial[q, c], alive[c]
     while at < dims:
@@ -96,62 +103,70 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_i
         score = score + np.einsum("ij,ij->i", queries[q, at:end], vertical[at:end, c].T)
         at = end
         bound = score if at == dims else score + left_q[q, at] * left_c[at, c]
-        stay = bound >= floors[q]
+        stay = bound + error[q] * most[c] >= floors[q]
         q, c, score = q[stay], c[stay], score[stay]
-    return q, c, score
+    return q, c, score.astype(np.int64) if exact else _whole(queries, q, vertical, c)
 
 
 def best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Indices of each query's k best, higher scores first, ties to smaller ids."""
-    if score.dtype == object:
-        order = np.array(sorted(range(len(q)), key=lambda i: (q[i], -score[i], ids[i])), dtype=np.int64)
-    else:
-        order = np.lexsort((ids, -score, q))
+    order = np.lexsort((ids, ~score, q))
     sorted_q = q[order]
     first = np.searchsorted(sorted_q, sorted_q, side="left")
     return order[np.arange(len(order)) - first < k]
 
 
+def _floor(score: np.ndarray) -> np.ndarray:
+    """Doubles that are not above these scores; none where the score may stand for a smaller one."""
+    near = score.astype(float)
+    return np.where(score == _MIN, -np.inf, np.where(np.abs(near) < 2.0**53, near, np.nextafter(near, -np.inf)))
+
+
 class Search:
     """Running best k of a set of queries (one length) over blocks of candidates."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, floors: np.ndarray, k: int):
         self.ids, self.vectors, self.floors, self.k = ids, vectors, floors.astype(float), k
-        self.q, self.c, self.s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.q, self.c, self.s = (np.zeros(0, np.int64) for _ in range(3))
+        big = wide(vectors)
+        self.batches = [(own[b : b + BATCH], w) for w in (False, True) for own in [np.flatnonzero(big == w)] for b in range(0, len(own), BATCH)]
 
     def add(self, c_ids: np.ndarray, candidates: np.ndarray) -> None:
-        for at in range(0, len(c_ids), BLOCK):
-            ids, vertical = c_ids[at : at + BLOCK], np.ascontiguousarray(candidates[at : at + BLOCK].T)
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-            for b in range(0, len(self.ids), BATCH):
-                part = slice(b, b + BATCH)
-                q, c, s = search_block(self.ids[part], self.vectors[part], self.floors[part], ids, vertical, self.k)
-                found.append((q + b, ids[c], s))
-            q, c, s = (np.concatenate(x) for x in zip((self.q, self.c, self.s), *found))
-            keep = best(q, c, s, self.k)
-            self.q, self.c, self.s = q[keep], c[keep], s[keep]
-            counts = np.bincount(self.q, minlength=len(self.ids))
-            last = np.cumsum(counts) - 1
-            full = counts >= self.k
-            lowest = self.s[last[full]]
-            below = np.nextafter(lowest.astype(float), -np.inf) if lowest.dtype == object else lowest
-            self.floors[full] = np.maximum(self.floors[full], below)
+        big = wide(candidates)
+        for w in (False, True):
+            own = np.flatnonzero(big == w)
+            for at in range(0, len(own), BLOCK):
+                self._add(c_ids[own[at : at + BLOCK]], np.ascontiguousarray(candidates[own[at : at + BLOCK]].T), w)
+
+    def _add(self, ids: np.ndarray, vertical: np.ndarray, is_wide: bool) -> None:
+        found = [(self.q, self.c, self.s)]
+        for part, w in self.batches:
+            q, c, s = search_block(self.ids[part], self.vectors[part], self.floors[part], ids, vertical, not (w or is_wide))
+            found.append((part[q], ids[c], s))
+        q, c, s = (np.concatenate(x) for x in zip(*found))
+        keep = best(q, c, s, self.k)
+        self.q, self.c, self.s = q[keep], c[keep], s[keep]
+        counts = np.bincount(self.q, minlength=len(self.ids))
+        full = counts >= self.k
+        self.floors[full] = np.maximum(self.floors[full], _floor(self.s[(np.cumsum(counts) - 1)[full]]))
 
 
 def _valid(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     vector = F.transform(F.col(vector_col), lambda x: x.cast("double"))
-    sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    sound = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x * SCALE) == float("inf")))
     return rows.select(F.col(id_col).cast("long").alias("id"), vector.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(sound, F.lit(False)))
 
 
-def _by_length(batch: pa.RecordBatch):
-    """(ids, quantised vectors) of a batch of (id, v), by length."""
-    ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
-    flat, sizes = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+def _by_length(table) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, ids, quantised vectors) of rows (id, v), by length."""
+    ids, lists = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (table.column(0), table.column(1)))
+    ids, flat, sizes = (x.to_numpy(zero_copy_only=False) for x in (ids, lists.flatten(), lists.value_lengths()))
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if len(sizes) else np.zeros(0, np.int64)
+    out = []
     for n in np.unique(sizes):
         own = np.flatnonzero(sizes == n)
-        yield int(n), ids[own], quantised(flat[begins[own, None] + np.arange(n)[None, :]])
+        out.append((int(n), ids[own], np.floor(SCALE * flat[begins[own, None] + np.arange(n)[None, :]])))
+    return out
 
 
 def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, query_step: int = QUERY_STEP, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -160,22 +175,18 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     valid = _valid(rows, id_col, vector_col)
     queries = stored(valid.where(F.col("id") % query_step == 0).groupBy("id").agg(F.min("v").alias("v")))
     size = queries.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
-    # The sample: the first hashes; bounded by SAMPLE rows and by half a pass.
-    width = 8 * max(1, size["d"] or 1)
-    sample = [(r["id"], list(r["v"])) for r in valid.orderBy(F.xxhash64("id"), "id").limit(max(k, min(SAMPLE, pass_bytes // 2 // width))).collect()] if size["n"] else []
+    width = 8 * (size["d"] or 1) + 24 * (k + 1)  # a query's vector and its running results
+    # The sample: the first hashes; bounded by SAMPLE rows and by half a pass. Ids are taken once: a floor must not count a row twice.
+    draw = valid.orderBy(F.xxhash64("id"), "id").limit(max(k, min(SAMPLE, pass_bytes // 2 // width))).dropDuplicates(["id"])
+    sample = {n: (ids, vectors) for n, ids, vectors in _by_length(draw.toArrow())} if size["n"] else {}
     passes = max(1, -(-(size["n"] or 0) * width // pass_bytes))
     found = None
     for p in range(passes):
-        table: dict = {}
-        for r in queries.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p).toLocalIterator():
-            table.setdefault(len(r["v"]), []).append((r["id"], r["v"]))
         packed = {}
-        for n, own in table.items():
-            own.sort(key=lambda x: x[0])
-            search = Search(np.array([i for i, _ in own], np.int64), quantised([v for _, v in own]).reshape(len(own), n), np.full(len(own), -np.inf), k)
-            near = {i: v for i, v in sample if len(v) == n}  # ids are taken once: a floor must not count a row twice
-            if near:
-                search.add(np.array(list(near), np.int64), quantised(list(near.values())).reshape(len(near), n))
+        for n, ids, vectors in _by_length(queries.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p).toArrow()):
+            search = Search(ids, vectors, np.full(len(ids), -np.inf), k)
+            if n in sample:
+                search.add(*sample[n])
             packed[n] = (search.ids, search.vectors, search.floors)
         shipped = spark.sparkContext.broadcast(packed)
 
@@ -186,8 +197,7 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
                     if n in searches:
                         searches[n].add(ids, vectors)
             for s in searches.values():
-                scores = pa.array([min(max(int(x), _MIN), _MAX) for x in s.s], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(s.ids[s.q], pa.int64()), pa.array(s.c, pa.int64()), scores], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(s.ids[s.q], pa.int64()), pa.array(s.c, pa.int64()), pa.array(s.s, pa.int64())], names=["query_id", "vec_id", "score"])
 
         part = valid.mapInArrow(run, "query_id long, vec_id long, score long")
         ranked = part.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)

@@ -117,7 +117,7 @@ def brute_top(rows, k=20, step=20):
     out = {}
     q = {}
     for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+        if i is not None and v is not None and all(x is not None and math.isfinite(64 * x) for x in v):
             q.setdefault(i, []).append([math.floor(64 * x) for x in v])
     flat = [(i, v) for i, vs in q.items() for v in vs]
     for i, vs in q.items():
@@ -132,10 +132,11 @@ def brute_top(rows, k=20, step=20):
 def test_op2(spark, scale):
     g = np.random.default_rng(3)
     rows = [(i, [float(x) for x in g.integers(-3, 4, 6) / 8 * scale]) for i in range(120)]
-    rows += [(None, [0.1] * 6), (200, None), (220, [float("nan")] * 6), (240, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (260, []), (261, []), (280, [0.5] * 3), (281, [0.25] * 3), (20, [0.1] * 6), (5, rows[5][1])]
+    rows += [(None, [0.1] * 6), (200, None), (220, [float("nan")] * 6), (240, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (260, []), (261, []), (280, [0.5] * 3), (281, [0.25] * 3), (20, [0.1] * 6), (5, rows[5][1]), (300, [1e307, -1e307] * 3), (301, [2e306, 2e306, 1.0, 1.0, 1.0, 1.0]), (320, [3e306] * 6), (302, [2.0**30 + 1] * 6), (340, [2.0**29 + 1, -(2.0**29), 1.0, 1.0, 1.0, 1.0])]
+    rows += [(k, [float(x) for x in g.integers(-(2**23), 2**23, 300)]) for k in range(400, 440)]  # many dimensions, sums beyond 2**53
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
     expected = brute_top(rows)
-    for pass_bytes in (1 << 20, 200):
+    for pass_bytes in (1 << 20, 12_000):
         got = collections.defaultdict(list)
         for r in exact_topk.top_k(frame, pass_bytes=pass_bytes).orderBy("query_id", "rank").collect():
             got[r["query_id"]].append((r["vec_id"], r["score"]))
@@ -146,12 +147,23 @@ def test_op2(spark, scale):
 def test_op2_pruning_is_exact():
     g = np.random.default_rng(4)
     data = np.floor(64 * g.normal(size=(9000, 64)) * np.linspace(2, 0.1, 64))
+    whole = [[int(x) for x in row] for row in data]
+    for scale, queries in ((1, 50), (2**30, 5)):  # narrow, and wide on both sides
+        search = exact_topk.Search(np.arange(queries), data[:queries] * scale, np.full(queries, -np.inf), 20)
+        search.add(np.arange(9000), data * scale)
+        for q in range(queries):
+            full = data[q] @ data.T
+            best = sorted((max(-int(full[c]) * scale * scale, -(2**63) + 1), c) for c in range(9000) if c != q)[:20]
+            mine = sorted((-s, c) for qq, c, s in zip(search.q, search.c, search.s.tolist()) if qq == q)
+            assert best == mine
+    # One wide candidate leaves the others' path as it was.
+    data[77] *= 2**30
     search = exact_topk.Search(np.arange(50), data[:50], np.full(50, -np.inf), 20)
     search.add(np.arange(9000), data)
-    full = data[:50] @ data.T
     for q in range(50):
-        best = sorted((-full[q, c], c) for c in range(9000) if c != q)[:20]
-        mine = sorted((-s, c) for qq, c, s in zip(search.q, search.c, search.s) if qq == q)
+        best = sorted((-sum(a * b * (2**30 if c == 77 else 1) for a, b in zip(whole[q], whole[c])), c) for c in [77, *np.argsort(-(data[q] @ data.T))[:40].tolist()] if c != q)
+        best = sorted(set(best))[:20]
+        mine = sorted((-s, c) for qq, c, s in zip(search.q, search.c, search.s.tolist()) if qq == q)
         assert best == mine
 
 
