@@ -14,7 +14,8 @@ numbers and their 64-bit hashes) in the shared folder. Everything that concerns
 corpus - words, n-grams level by level, context sums - goes through one exchange: each
 block sends every different key once with its local figures, in packed sorted runs cut
 by ranges of the hash; each range is summed up in one small task and the sums go back to
-the blocks that asked. Ranges cut by hash are even however frequent a word is, since a
+the blocks that asked. Blocks and answers are tables bucketed by block, so an answer moves
+once, and a block takes up its state again from them without a shuffle. Ranges cut by hash are even however frequent a word is, since a
 key is one entry a block; their number grows with the corpus, and so does the tree. No
 table of words or n-grams is broadcast or collected: the driver gets two totals.
 
@@ -28,6 +29,8 @@ an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import documents, stored
+from .shared import documents, scratch, stored
 from .textvec import LOWER, U64, mix, segment_sum, slices, words
 
 #: A context seen less often than MIN_NEXT has no explicit successor: MIN_CONTEXT cuts nothing that DIVERGENCE could keep.
@@ -44,6 +47,8 @@ DISCOUNT, DIVERGENCE = 0.5, 0.05
 #: Additive smoothing of the root.
 ADDED = 0.1
 BLOCK_TOKENS, RANGE_TOKENS, LEAST_RANGES = 1 << 20, 1 << 21, 12
+#: Blocks in one Arrow batch; buckets of the blocks' tables at most.
+ROWS, MOST_BUCKETS = 4, 20_000
 #: One document in FOLDS is held out, by crc32 of its id.
 FOLDS = 10
 
@@ -70,6 +75,17 @@ def _unpack_keys(b: bytes) -> np.ndarray:
     return np.cumsum(_unpack(b, "u8"), dtype=U64)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place of each, and each place's index among them. (np.unique's stable sort takes three times as long.)"""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(keys), dtype=np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], inverse
+
+
 _BLOCKS = "block long, ids array<long>, held array<boolean>, sizes binary, vocab binary, tokens binary, n_tokens long"
 
 
@@ -151,26 +167,25 @@ class Block:
         self.some = np.flatnonzero(self.gram_count[self.at] >= MIN_NEXT)
         place = self.at[self.some]
         grams = mix(self.context[self.some] * U64(0x9FB21C651E98DF25) + self.vocab[self.tokens[place]] + U64(k))
-        self.keys, self.first, self.inverse = np.unique(grams, return_index=True, return_inverse=True)
+        self.keys, self.one, self.inverse = _distinct(grams)
         return self.keys, [np.bincount(self.inverse, weights=self.train[place], minlength=len(self.keys))]
 
     def ask_contexts(self, sums: list[np.ndarray], owned: np.ndarray):
         """Each context's explicit mass and divergence, over the n-grams that this block owns."""
         self.counts = np.zeros(len(self.at))
         self.counts[self.some] = sums[0][self.inverse]
-        contexts, self.context_of = np.unique(self.context, return_inverse=True)
-        at = self.some[self.first[owned & (sums[0] >= MIN_NEXT)]]
+        contexts, _, self.context_of = _distinct(self.context)
+        at = self.some[self.one[owned & (sums[0] >= MIN_NEXT)]]
         of, share = self.context_of[at], self.counts[at] / self.occurrences[at]
         mass = np.bincount(of, weights=share - DISCOUNT / self.occurrences[at], minlength=len(contexts))
         gain = np.bincount(of, weights=share * np.log(share / self.p[self.at[at]]), minlength=len(contexts))
         return contexts, [mass, gain]
 
-    def tell_contexts(self, sums: list[np.ndarray]) -> None:
-        mass, gain = sums
-        state = (gain >= DIVERGENCE)[self.context_of]
-        explicit = np.where(self.counts >= MIN_NEXT, (self.counts - DISCOUNT) / self.occurrences, 0.0)
-        smoothed = explicit + np.maximum(1 - mass[self.context_of], 0.0) * self.p[self.at]
-        self.p[self.at] = np.where(state, smoothed, self.p[self.at])
+    def tell_contexts(self, left: np.ndarray) -> None:
+        """left: by context the mass that a state leaves to its next shorter state; 1 where it is none."""
+        left = left[self.context_of]
+        explicit = np.where((self.counts >= MIN_NEXT) & (left < 1), (self.counts - DISCOUNT) / self.occurrences, 0.0)
+        self.p[self.at] = explicit + left * self.p[self.at]
         gram, count = np.zeros(len(self.tokens), U64), np.zeros(len(self.tokens))
         gram[self.at[self.some]], count[self.at] = self.keys[self.inverse], self.counts
         self.gram, self.gram_count = gram, count
@@ -181,6 +196,11 @@ class Block:
         return self.sizes, n_known, segment_sum(self.base, self.offs), segment_sum(np.log10(self.p), self.offs)
 
 
+def left_over(mass: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """The mass that each context leaves to its next shorter state: all, if its divergence makes it no state."""
+    return np.where(gain >= DIVERGENCE, np.maximum(1 - mass, 0.0), 1.0)
+
+
 def _edges(ranges: int) -> np.ndarray:
     return np.array([(r << 64) // ranges for r in range(1, ranges)], dtype=U64)
 
@@ -190,14 +210,12 @@ def _load(row: dict) -> Block:
 
 
 def _replay(row: dict, totals) -> tuple[Block, object]:
-    """The block after all answers so far, and its next question (None: it is done)."""
+    """The block after all answers so far (columns a0, a1, ...), and its next question (None: it is done)."""
     block = _load(row)
     question = block.ask_words()
-    by_round: dict = {}
-    for a in row.get("answers") or []:
-        by_round.setdefault(a["round"], []).append(a)
-    for r in sorted(by_round):
-        parts = sorted(by_round[r], key=lambda a: a["range"])
+    r = 0
+    while f"a{r}" in row:
+        parts = sorted(row[f"a{r}"], key=lambda a: a["range"])
         sums = [np.concatenate([_unpack(a["sums"][i], "f8").astype(np.float64) for a in parts]) for i in range(len(parts[0]["sums"]))]
         if r == 0:
             block.tell_words(sums, *totals)
@@ -205,13 +223,14 @@ def _replay(row: dict, totals) -> tuple[Block, object]:
         elif r % 2:
             question = block.ask_contexts(sums, np.concatenate([_unpack(a["owned"], "b1") for a in parts]))
         else:
-            block.tell_contexts(sums)
+            block.tell_contexts(sums[0])
             question = block.ask_grams() if block.level < DEPTH else None
+        r += 1
     return block, question
 
 
 _ASKED = "range int, block long, keys binary, sums array<binary>"
-_ANSWERED = "block long, round int, range int, sums array<binary>, owned binary, n double, v double"
+_ANSWERED = "block long, range int, sums array<binary>, owned binary, n double, v double"
 
 
 def _asked(packed: DataFrame, totals, ranges: int) -> DataFrame:
@@ -242,7 +261,7 @@ def _small(v: np.ndarray) -> np.ndarray:
 
 
 def _summed(asked: DataFrame, r: int) -> DataFrame:
-    """Each range's sums by key, sent back to the blocks that asked; owned: the first block with the key."""
+    """Each range's sums by key, sent back to the blocks that asked; owned: whether this block answers for the n-gram."""
 
     def add(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("block").to_numpy(), kind="stable")
@@ -250,10 +269,13 @@ def _summed(asked: DataFrame, r: int) -> DataFrame:
         keys = [_unpack_keys(table.column("keys")[int(i)].as_py()) for i in order]
         values = [[_unpack(x, "f8").astype(np.float64) for x in table.column("sums")[int(i)].as_py()] for i in order]
         every = np.concatenate(keys)
-        _, first, inverse = np.unique(every, return_index=True, return_inverse=True)
-        sums = [np.bincount(inverse, weights=np.concatenate([v[k] for v in values]), minlength=len(first)) for k in range(len(values[0]))]
-        owned = np.zeros(len(every), dtype=bool)
-        owned[first] = True
+        _, one, inverse = _distinct(every)
+        sums = [np.bincount(inverse, weights=np.concatenate([v[k] for v in values]), minlength=len(one)) for k in range(len(values[0]))]
+        owned = np.zeros(len(every) if r % 2 else 0, dtype=bool)
+        if r % 2:  # n-grams: one block, whichever, answers for each in its context's sums
+            owned[one] = True
+        elif r:  # contexts: only what a state leaves over goes back
+            sums = [left_over(*sums)]
         cuts = np.cumsum([0, *map(len, keys)])
         out = {"block": [], "sums": [], "owned": []}
         for i, name in enumerate(names):
@@ -265,7 +287,7 @@ def _summed(asked: DataFrame, r: int) -> DataFrame:
         once = [1.0] + [0.0] * (n - 1)  # totals of the range, on its first row
         return pa.table(
             {
-                "block": pa.array(out["block"], pa.int64()), "round": pa.array([r] * n, pa.int32()), "range": table.column("range").take(pa.array(order)).cast(pa.int32()),
+                "block": pa.array(out["block"], pa.int64()), "range": table.column("range").take(pa.array(order)).cast(pa.int32()),
                 "sums": pa.array(out["sums"], pa.list_(pa.binary())), "owned": pa.array(out["owned"], pa.binary()),
                 "n": pa.array([x * float(sums[0].sum()) for x in once]), "v": pa.array([x * float((sums[0] > 0).sum()) for x in once]),
             }
@@ -274,32 +296,51 @@ def _summed(asked: DataFrame, r: int) -> DataFrame:
     return asked.groupBy("range").applyInArrow(add, _ANSWERED)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    packed = stored(blocks(docs, id_col, text_col))
-    tokens = packed.agg(F.sum("n_tokens")).first()[0] or 0
-    ranges = max(LEAST_RANGES, math.ceil(tokens / RANGE_TOKENS))
-    totals = (0.0, 0.0)
-    known = answers = None
-    for r in range(2 * DEPTH + 1):
-        new = stored(_summed(_asked(packed if known is None else known, totals, ranges), r))
-        if r == 0:
-            totals = tuple(x or 0.0 for x in new.agg(F.sum("n"), F.sum("v")).first())
-        answers = new if answers is None else answers.unionByName(new)
-        by_block = answers.groupBy("block").agg(F.collect_list(F.struct("round", "range", "sums", "owned")).alias("answers"))
-        known = packed.join(by_block, "block")
-    kind = docs.schema[id_col].dataType.simpleString()
-    n_train = int(totals[0])
+@contextmanager
+def _few_rows_a_batch(spark: SparkSession):
+    """Rows are blocks of some MB here: a batch takes ROWS of them, however many a task has."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block, _ = _replay(row, totals)
-                sizes, n_known, base, total = block.scores()
-                arrays = [pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()), pa.array([n_train] * len(sizes), pa.int64()), pa.array(base), pa.array(total)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    out = known.mapInArrow(run, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+def _by_block(rows: DataFrame, buckets: int) -> DataFrame:
+    """The rows as a table in the shared folder that is bucketed by block: joins of such tables move nothing."""
+    spark, name = rows.sparkSession, f"matchloom_{uuid.uuid4().hex}"
+    rows.write.option("path", scratch(spark)).bucketBy(buckets, "block").saveAsTable(name)
+    return spark.table(name)
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, range_tokens: int = RANGE_TOKENS) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    packed = stored(blocks(docs, id_col, text_col, block_tokens))
+    size = packed.agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("blocks")).first()
+    ranges, buckets = max(LEAST_RANGES, math.ceil((size["tokens"] or 0) / range_tokens)), max(1, min(size["blocks"], MOST_BUCKETS))
+    with _few_rows_a_batch(spark):
+        known, totals = _by_block(packed.repartition(buckets, "block"), buckets), (0.0, 0.0)
+        for r in range(2 * DEPTH + 1):
+            answers = _summed(_asked(known, totals, ranges), r).repartition(buckets, "block")
+            listed = F.collect_list(F.struct("range", "sums", "owned")).alias(f"a{r}")
+            new = _by_block(answers.groupBy("block").agg(listed, F.sum("n").alias("n"), F.sum("v").alias("v")), buckets)
+            if r == 0:
+                totals = tuple(x or 0.0 for x in new.agg(F.sum("n"), F.sum("v")).first())
+            known = known.join(new.drop("n", "v").hint("merge"), "block")
+        n_train = int(totals[0])
+
+        def run(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    block, _ = _replay(row, totals)
+                    sizes, n_known, base, total = block.scores()
+                    arrays = [pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()), pa.array([n_train] * len(sizes), pa.int64()), pa.array(base), pa.array(total)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+        out = stored(known.mapInArrow(run, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
     return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
 
 

@@ -167,43 +167,18 @@ def test_op2_pruning_is_exact():
         assert best == mine
 
 
-def test_op3(spark, monkeypatch):
-    for name, value in (("MIN_CONTEXT", 5), ("MIN_NEXT", 2)):
-        monkeypatch.setattr(suffix_tree_lm, name, value)
-    texts = ODD + [prose(rng.randint(0, 80)) for _ in range(60)]
-    frame = table(spark, texts)
-    block_rows = [r.asDict() for r in suffix_tree_lm.blocks(frame, block_tokens=500).collect()]
-    assert len(block_rows) > 1
-    # All exchanges by hand, in this process, where the small thresholds hold.
-    blocks = [suffix_tree_lm._load(r) for r in block_rows]
-
-    def exchange(questions):
-        total, first = {}, {}
-        for b, (keys, values) in enumerate(questions):
-            for i, k in enumerate(keys):
-                old = total.get(k, [0.0] * len(values))
-                total[k] = [o + v[i] for o, v in zip(old, values)]
-                first.setdefault(k, b)
-        return total, [([np.array([total[k][j] for k in keys]) for j in range(len(values))], np.array([first[k] == b for k in keys], bool)) for b, (keys, values) in enumerate(questions)]
-
-    total, told = exchange([b.ask_words() for b in blocks])
-    n, v = sum(x[0] for x in total.values()), sum(x[0] > 0 for x in total.values())
-    for b, (sums, _) in zip(blocks, told):
-        b.tell_words(sums, n, v)
-    for _ in range(suffix_tree_lm.DEPTH):
-        _, told = exchange([b.ask_grams() for b in blocks])
-        _, told = exchange([b.ask_contexts(*x) for b, x in zip(blocks, told)])
-        for b, (sums, _) in zip(blocks, told):
-            b.tell_contexts(sums)
-    got = {}
-    for r, b in zip(block_rows, blocks):
-        for i, *x in zip(r["ids"], *b.scores()):
-            got[i] = x
+@pytest.mark.parametrize("block_tokens,range_tokens", [(500, 100), (1 << 20, 1 << 21)])
+def test_op3(spark, block_tokens, range_tokens):
+    texts = ODD + [prose(rng.randint(0, 80)) for _ in range(60)] + [prose(1500)]
+    frame = table(spark, texts).withColumn("score", F.lit("x")).withColumn("block", F.lit(1))
+    assert block_tokens > 500 or suffix_tree_lm.blocks(frame, block_tokens=block_tokens).count() > 4
+    got = {r["doc_id"]: r for r in suffix_tree_lm.score(frame, block_tokens=block_tokens, range_tokens=range_tokens).collect()}
+    least = suffix_tree_lm.MIN_NEXT
 
     docs = {i: [w for w in (t or "").encode().lower().split()] + [None] for i, t in enumerate(texts)}
     train = [i for i in docs if zlib.crc32(str(i).encode()) % 10]
     grams = [collections.Counter(tuple(docs[i][k : k + m]) for i in train for k in range(len(docs[i]) - m + 1)) for m in (1, 2, 3, 4)]
-    assert n == sum(grams[0].values()) and v == len(grams[0])
+    n, v = sum(grams[0].values()), len(grams[0])
     states = {}
 
     def p(context, w):
@@ -213,19 +188,20 @@ def test_op3(spark, monkeypatch):
         if context not in states:
             return lower
         count = grams[len(context)][(*context, w)]
-        return (count - 0.5 if count >= 2 else 0) / grams[len(context) - 1][context] + states[context] * lower
+        return (count - 0.5 if count >= least else 0) / grams[len(context) - 1][context] + states[context] * lower
 
     for m in (1, 2, 3):
         new = collections.defaultdict(list)
         for g, count in grams[m].items():
-            if count >= 2 and grams[m - 1][g[:-1]] >= 5:
+            if count >= least and grams[m - 1][g[:-1]] >= suffix_tree_lm.MIN_CONTEXT:
                 new[g[:-1]].append((g[-1], count / grams[m - 1][g[:-1]], 0.5 / grams[m - 1][g[:-1]]))
         states |= {c: max(1 - sum(q - d for _, q, d in s), 0) for c, s in new.items() if sum(q * math.log(q / p(c[1:], w)) for w, q, _ in s) >= suffix_tree_lm.DIVERGENCE}
     assert states
     for i, d in docs.items():
         base, score = sum(math.log10(p((), w)) for w in d), sum(math.log10(p(tuple(d[max(0, k - 3) : k]), w)) for k, w in enumerate(d))
-        assert got[i][0] == len(d) and got[i][1] == sum(grams[0][(w,)] > 0 for w in d)
-        assert got[i][2] == pytest.approx(base) and got[i][3] == pytest.approx(score)
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (len(d), sum(grams[0][(w,)] > 0 for w in d), n)
+        assert got[i]["held_out"] == (i not in train)
+        assert got[i]["base_score"] == pytest.approx(base, abs=1e-6) and got[i]["score"] == pytest.approx(score)
 
 
 def test_op3_query(spark):
