@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,32 @@ def scratch(spark: SparkSession) -> str:
     return f"{root}/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str):
+    """The session with other settings for a while; names have _ for the dots."""
+    before = {}
+    for name, value in values.items():
+        key = name.replace("_", ".")
+        before[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def written_once(spark: SparkSession):
+    """While a table is written: its shuffle files go when it is there, not when the driver next collects garbage."""
+    return settings(spark, spark_sql_classic_shuffleDependency_fileCleanup_enabled="true")
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write the rows as Parquet into the shared folder and read them from there.
 
@@ -45,7 +72,8 @@ def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark)
-    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    with written_once(spark):
+        (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import math
 import uuid
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import documents, scratch, stored
+from .shared import documents, removed, scratch, settings, stored, written_once
 from .textvec import LOWER, U64, mix, segment_sum, slices, words
 
 #: A context seen less often than MIN_NEXT has no explicit successor: MIN_CONTEXT cuts nothing that DIVERGENCE could keep.
@@ -46,9 +45,9 @@ DEPTH, MIN_CONTEXT, MIN_NEXT = 3, 3, 3
 DISCOUNT, DIVERGENCE = 0.5, 0.05
 #: Additive smoothing of the root.
 ADDED = 0.1
-BLOCK_TOKENS, RANGE_TOKENS, LEAST_RANGES = 1 << 20, 1 << 21, 12
+BLOCK_TOKENS, RANGE_TOKENS, LEAST_RANGES = 1 << 19, 1 << 21, 12
 #: Blocks in one Arrow batch; buckets of the blocks' tables at most.
-ROWS, MOST_BUCKETS = 4, 20_000
+ROWS, MOST_BUCKETS = 2, 20_000
 #: One document in FOLDS is held out, by crc32 of its id.
 FOLDS = 10
 
@@ -81,8 +80,8 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ordered = keys[order]
     new = np.ones(len(keys), dtype=bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    inverse = np.empty(len(keys), dtype=np.int64)
-    inverse[order] = np.cumsum(new) - 1
+    inverse = np.empty(len(keys), dtype=np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
     return ordered[new], order[new], inverse
 
 
@@ -138,7 +137,7 @@ class Block:
         self.sizes, self.held, self.vocab, self.tokens = sizes, held, vocab, tokens
         self.offs = np.concatenate([[0], np.cumsum(sizes)])
         self.train = np.repeat(~held, sizes)
-        self.place = np.arange(len(tokens)) - np.repeat(self.offs[:-1], sizes)
+        self.place = np.arange(len(tokens), dtype=np.int32) - np.repeat(self.offs[:-1].astype(np.int32), sizes)
         self.level = 0
         self.order = np.argsort(vocab)
 
@@ -160,11 +159,11 @@ class Block:
         """The n-grams (context, token) with a frequent context, and their counts in training texts."""
         k = self.level + 1
         context, occurrences = self.gram, self.gram_count  # a token's context is the n-gram that ended one token earlier
-        at = np.flatnonzero(self.place >= k)
+        at = np.flatnonzero(self.place >= k).astype(np.int32)
         self.at = at[occurrences[at - 1] >= MIN_CONTEXT]
         self.context, self.occurrences = context[self.at - 1], occurrences[self.at - 1]
         # A longer n-gram is no more frequent than its suffix, so the others can't be explicit.
-        self.some = np.flatnonzero(self.gram_count[self.at] >= MIN_NEXT)
+        self.some = np.flatnonzero(self.gram_count[self.at] >= MIN_NEXT).astype(np.int32)
         place = self.at[self.some]
         grams = mix(self.context[self.some] * U64(0x9FB21C651E98DF25) + self.vocab[self.tokens[place]] + U64(k))
         self.keys, self.one, self.inverse = _distinct(grams)
@@ -296,33 +295,26 @@ def _summed(asked: DataFrame, r: int) -> DataFrame:
     return asked.groupBy("range").applyInArrow(add, _ANSWERED)
 
 
-@contextmanager
-def _few_rows_a_batch(spark: SparkSession):
-    """Rows are blocks of some MB here: a batch takes ROWS of them, however many a task has."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _by_block(rows: DataFrame, buckets: int) -> DataFrame:
     """The rows as a table in the shared folder that is bucketed by block: joins of such tables move nothing."""
     spark, name = rows.sparkSession, f"matchloom_{uuid.uuid4().hex}"
-    rows.write.option("path", scratch(spark)).bucketBy(buckets, "block").saveAsTable(name)
+    with written_once(spark):
+        rows.write.option("path", scratch(spark)).bucketBy(buckets, "block").saveAsTable(name)
     return spark.table(name)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, range_tokens: int = RANGE_TOKENS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
-    packed = stored(blocks(docs, id_col, text_col, block_tokens))
+    first = scratch(spark)
+    blocks(docs, id_col, text_col, block_tokens).write.parquet(first)
+    packed = spark.read.schema(_BLOCKS).parquet(first)
     size = packed.agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("blocks")).first()
     ranges, buckets = max(LEAST_RANGES, math.ceil((size["tokens"] or 0) / range_tokens)), max(1, min(size["blocks"], MOST_BUCKETS))
-    with _few_rows_a_batch(spark):
+    # Rows are blocks of some MB here: an Arrow batch takes ROWS of them, however many a task has.
+    with settings(spark, spark_sql_execution_arrow_maxRecordsPerBatch=str(ROWS)):
         known, totals = _by_block(packed.repartition(buckets, "block"), buckets), (0.0, 0.0)
+        removed(spark, first)
         for r in range(2 * DEPTH + 1):
             answers = _summed(_asked(known, totals, ranges), r).repartition(buckets, "block")
             listed = F.collect_list(F.struct("range", "sums", "owned")).alias(f"a{r}")
