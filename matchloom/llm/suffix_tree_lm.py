@@ -45,7 +45,7 @@ DEPTH, MIN_CONTEXT, MIN_NEXT = 3, 3, 3
 DISCOUNT, DIVERGENCE = 0.5, 0.05
 #: Additive smoothing of the root.
 ADDED = 0.1
-BLOCK_TOKENS, RANGE_TOKENS, LEAST_RANGES = 1 << 19, 1 << 21, 12
+BLOCK_TOKENS, RANGE_TOKENS, LEAST_RANGES = 1 << 19, 1 << 20, 12
 #: Blocks in one Arrow batch; buckets of the blocks' tables at most.
 ROWS, MOST_BUCKETS = 2, 20_000
 #: One document in FOLDS is held out, by crc32 of its id.
@@ -128,9 +128,9 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
 class Block:
     """One block's tokens, and its figures as the answers to its questions come in.
 
-    step() gives the keys (sorted, unique) and values of the next question; answer() takes
-    the sums over all blocks. Questions: words; then for every level the n-grams and, when
-    their counts are back, the contexts.
+    ask_...() gives the keys (sorted, unique) and, if asked for, the values of the next
+    question; tell_...() takes the sums over all blocks. Questions: words; then for every
+    level the n-grams and, when their counts are back, the contexts.
     """
 
     def __init__(self, sizes: np.ndarray, held: np.ndarray, vocab: np.ndarray, tokens: np.ndarray):
@@ -141,7 +141,9 @@ class Block:
         self.level = 0
         self.order = np.argsort(vocab)
 
-    def ask_words(self):
+    def ask_words(self, values: bool = True):
+        if not values:
+            return None
         counts = np.bincount(self.tokens[self.train], minlength=len(self.vocab))
         return self.vocab[self.order], [counts[self.order].astype(np.float64)]
 
@@ -149,50 +151,55 @@ class Block:
         counts = np.empty(len(self.vocab))
         counts[self.order] = sums[0]
         self.known = counts[self.tokens] > 0
-        self.p = (counts[self.tokens] + ADDED) / (n + ADDED * (v + 1))
-        self.base = np.log10(self.p)
-        # What a token ends: the hash and count of the n-gram of the current level.
-        self.gram = self.vocab[self.tokens]
+        self.words = (counts + ADDED) / (n + ADDED * (v + 1))
+        self.p = self.words[self.tokens]
+        # What a token ends: the n-gram of the current level (its number among the sorted keys) and its count.
+        place = np.empty(len(self.vocab), np.int32)
+        place[self.order] = np.arange(len(self.vocab), dtype=np.int32)
+        self.grams, self.gram = self.vocab[self.order], place[self.tokens]
         self.gram_count = counts[self.tokens]
 
-    def ask_grams(self):
+    def ask_grams(self, values: bool = True):
         """The n-grams (context, token) with a frequent context, and their counts in training texts."""
         k = self.level + 1
-        context, occurrences = self.gram, self.gram_count  # a token's context is the n-gram that ended one token earlier
         at = np.flatnonzero(self.place >= k).astype(np.int32)
-        self.at = at[occurrences[at - 1] >= MIN_CONTEXT]
-        self.context, self.occurrences = context[self.at - 1], occurrences[self.at - 1]
+        self.at = at[self.gram_count[at - 1] >= MIN_CONTEXT]  # a token's context is the n-gram that ended one token earlier
+        context, self.occurrences = self.gram[self.at - 1], self.gram_count[self.at - 1]
+        used = np.zeros(len(self.grams), dtype=bool)
+        used[context] = True
+        self.contexts, self.context_of = self.grams[used], (np.cumsum(used, dtype=np.int32) - 1)[context]
         # A longer n-gram is no more frequent than its suffix, so the others can't be explicit.
         self.some = np.flatnonzero(self.gram_count[self.at] >= MIN_NEXT).astype(np.int32)
         place = self.at[self.some]
-        grams = mix(self.context[self.some] * U64(0x9FB21C651E98DF25) + self.vocab[self.tokens[place]] + U64(k))
+        grams = mix(self.grams[context[self.some]] * U64(0x9FB21C651E98DF25) + self.vocab[self.tokens[place]] + U64(k))
         self.keys, self.one, self.inverse = _distinct(grams)
-        return self.keys, [np.bincount(self.inverse, weights=self.train[place], minlength=len(self.keys))]
+        return (self.keys, [np.bincount(self.inverse, weights=self.train[place], minlength=len(self.keys))]) if values else None
 
-    def ask_contexts(self, sums: list[np.ndarray], owned: np.ndarray):
+    def ask_contexts(self, sums: list[np.ndarray], owned: np.ndarray, values: bool = True):
         """Each context's explicit mass and divergence, over the n-grams that this block owns."""
         self.counts = np.zeros(len(self.at))
         self.counts[self.some] = sums[0][self.inverse]
-        contexts, _, self.context_of = _distinct(self.context)
+        if not values:
+            return None
         at = self.some[self.one[owned & (sums[0] >= MIN_NEXT)]]
         of, share = self.context_of[at], self.counts[at] / self.occurrences[at]
-        mass = np.bincount(of, weights=share - DISCOUNT / self.occurrences[at], minlength=len(contexts))
-        gain = np.bincount(of, weights=share * np.log(share / self.p[self.at[at]]), minlength=len(contexts))
-        return contexts, [mass, gain]
+        mass = np.bincount(of, weights=share - DISCOUNT / self.occurrences[at], minlength=len(self.contexts))
+        gain = np.bincount(of, weights=share * np.log(share / self.p[self.at[at]]), minlength=len(self.contexts))
+        return self.contexts, [mass, gain]
 
     def tell_contexts(self, left: np.ndarray) -> None:
         """left: by context the mass that a state leaves to its next shorter state; 1 where it is none."""
         left = left[self.context_of]
         explicit = np.where((self.counts >= MIN_NEXT) & (left < 1), (self.counts - DISCOUNT) / self.occurrences, 0.0)
         self.p[self.at] = explicit + left * self.p[self.at]
-        gram, count = np.zeros(len(self.tokens), U64), np.zeros(len(self.tokens))
-        gram[self.at[self.some]], count[self.at] = self.keys[self.inverse], self.counts
-        self.gram, self.gram_count = gram, count
+        gram, count = np.zeros(len(self.tokens), np.int32), np.zeros(len(self.tokens))
+        gram[self.at[self.some]], count[self.at] = self.inverse, self.counts
+        self.grams, self.gram, self.gram_count = self.keys, gram, count
         self.level += 1
 
     def scores(self):
         n_known = segment_sum(self.known, self.offs)
-        return self.sizes, n_known, segment_sum(self.base, self.offs), segment_sum(np.log10(self.p), self.offs)
+        return self.sizes, n_known, segment_sum(np.log10(self.words)[self.tokens], self.offs), segment_sum(np.log10(self.p), self.offs)
 
 
 def left_over(mass: np.ndarray, gain: np.ndarray) -> np.ndarray:
@@ -211,20 +218,19 @@ def _load(row: dict) -> Block:
 def _replay(row: dict, totals) -> tuple[Block, object]:
     """The block after all answers so far (columns a0, a1, ...), and its next question (None: it is done)."""
     block = _load(row)
-    question = block.ask_words()
-    r = 0
-    while f"a{r}" in row:
-        parts = sorted(row[f"a{r}"], key=lambda a: a["range"])
+    rounds = sum(f"a{r}" in row for r in range(2 * DEPTH + 1))
+    question = block.ask_words(rounds == 0)
+    for r in range(rounds):
+        parts, last = sorted(row[f"a{r}"], key=lambda a: a["range"]), r + 1 == rounds
         sums = [np.concatenate([_unpack(a["sums"][i], "f8").astype(np.float64) for a in parts]) for i in range(len(parts[0]["sums"]))]
         if r == 0:
             block.tell_words(sums, *totals)
-            question = block.ask_grams()
+            question = block.ask_grams(last)
         elif r % 2:
-            question = block.ask_contexts(sums, np.concatenate([_unpack(a["owned"], "b1") for a in parts]))
+            question = block.ask_contexts(sums, np.concatenate([_unpack(a["owned"], "b1") for a in parts]), last)
         else:
             block.tell_contexts(sums[0])
-            question = block.ask_grams() if block.level < DEPTH else None
-        r += 1
+            question = block.ask_grams(last) if block.level < DEPTH else None
     return block, question
 
 
