@@ -35,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .shared import documents, stored
+from .shared import documents, fresh, stored
 from .textvec import LOWER, U64, mix, segment_sum, slices, spans, words
 
 DEPTH = 3
@@ -246,19 +247,22 @@ def _cut(part: pa.RecordBatch, at: int, gone) -> tuple[pa.Array, np.ndarray, np.
 
 
 def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
-    """The documents with recurring lines cut from text_col, plus _n_lines and _n_dropped."""
+    """The documents with recurring lines cut from text_col, and two more columns: the numbers of lines and of those dropped.
+
+    They are named _n_lines and _n_dropped, with more underscores where docs has such columns.
+    """
     again, found = recurring(docs, id_col, text_col, min_docs, broadcast_lines)
-    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    schema = ", ".join([*fields, "_n_lines long", "_n_dropped long"])
+    docs = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
     names = list(docs.columns)
+    own = [fresh(docs, c) for c in ("_n_lines", "_n_dropped")]
+    schema = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in own]])
     who, at = names.index(id_col), names.index(text_col)
 
     def rebuilt(part: pa.RecordBatch, gone) -> pa.RecordBatch:
         texts, n_lines, n_dropped = _cut(part, at, gone)
         columns = list(part.columns)[: len(names)]
         columns[at] = texts
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*names, "_n_lines", "_n_dropped"])
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*names, *own])
 
     if again.count() <= broadcast_lines:
         rows = again.orderBy("line").toPandas()
@@ -281,8 +285,9 @@ def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
         return docs.mapInArrow(run, schema)
 
-    gone_rows = found.select("doc", "line").join(again, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("_gone"))
-    joined = docs.join(gone_rows.withColumnRenamed("doc", "_doc"), F.col(id_col).cast("long").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    gone_rows = found.select("doc", "line").join(again, "line").where(~F.col("doc").eqNullSafe(F.col("first"))).groupBy("doc").agg(F.collect_set("line").alias("gone"))
+    doc, marks = fresh(docs, "_doc"), fresh(docs, "_gone")
+    joined = docs.join(gone_rows.select(F.col("doc").alias(doc), F.col("gone").alias(marks)), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(f"`{doc}`")), "left").drop(doc)
 
     def run_joined(batches):
         for batch in batches:

@@ -86,6 +86,14 @@ def whole_row(df: DataFrame):
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with underscores added until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(col):
     """Lower-case A-Z alone."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

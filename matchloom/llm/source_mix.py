@@ -14,7 +14,8 @@ Limits of a larger rest lie above those of a smaller one, so mixes are nested.
 
 Cases: null sources form one source, the last; a null text has size 0 and is taken 0
 times; a null id hashes like an empty one; rows with the same id share their hash, so
-they are taken together; empty tables give empty results; extra columns are ignored.
+they are taken together; very long texts are counted whole; empty tables give empty results;
+extra columns pass through `mixed` unchanged and are ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import documents, stored
+from .shared import documents, stored, whole_row
 
 #: Weights by rank of the source, and the most that is taken of a source and a document.
 WEIGHTS = (5, 2, 1)
 CAP = 3
 #: Bits of the hash in all, in one level of the histogram, and levels.
 HASH_BITS, LEVEL_BITS, LEVELS = 60, 12, 3
+#: Sources whose figures are broadcast at most (about 60 bytes each); more are joined.
+BROADCAST_SOURCES = 1 << 16
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _REST_BITS = HASH_BITS - LEVEL_BITS * LEVELS
@@ -84,21 +87,23 @@ def limits(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP)
 def taken(rows: DataFrame, by_source: DataFrame) -> DataFrame:
     """The rows with their source's figures and copies, how often the mix takes each."""
     named = by_source.withColumnRenamed("_key", "_source_key")
+    named = F.broadcast(named) if by_source.count() <= BROADCAST_SOURCES else named
     joined = rows.join(named, F.col("_key") == F.col("_source_key")).drop("_source_key")
     return joined.withColumn("copies", F.col("epochs") + (F.col("_prefix") < F.col("limit")).cast("long"))
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: each row as often as it is taken, columns as they were."""
-    rows = keyed(docs)
-    by_source = limits(stored(rows.select("_key", "_size", "_prefix")))
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents as the mix takes them: each row as often as it is taken, columns as they were, whatever their names."""
+    named = [F.col(f"`{c}`").alias(f"_{k}") for k, c in (("id", id_col), ("text", text_col), ("source", source_col))]
+    rows = keyed(docs.select(whole_row(docs).alias("_in"), *named), "_id", "_text", "_source").select("_in", "_key", "_size", "_prefix")
+    by_source = stored(limits(stored(rows.drop("_in"))))
     repeated = taken(rows, by_source).where("_size > 0 and copies > 0")
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_in.*")
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(keyed(documents(spark, sf_dir)).select("doc_id", "_key", "_size", "_prefix"))
-    out = taken(rows, limits(rows))
+    out = taken(rows, stored(limits(rows)))
     return out.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("copies")).alias("taken"))
 
 

@@ -102,3 +102,21 @@ def test_empty(spark, folder):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, path).count() == 0
+
+
+def test_clashing_columns(spark, folder):
+    path, _ = folder
+    extra = ["_in", "_row", "_key", "_size", "_prefix", "_n_lines", "_n_dropped", "_gone", "_doc", "target", "source_size", "epochs", "limit", "copies", "class", "kept", "component_id", "_stratum", "stratum", "n_words", "line", "size"]
+    docs = spark.read.parquet(f"{path}/documents.parquet").selectExpr("*", *[f"'{c}!' AS `{c}`" for c in extra])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, corpus_pipeline.stored(stage(spark, docs, path))
+        assert docs.dtypes == before.dtypes, name
+        assert docs.count() and docs.where(" or ".join(f"`{c}` <> '{c}!'" for c in extra)).count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() == docs.count()
+
+
+def test_near_keeps_one_row_of_a_group(spark):
+    copy, own = prose(80), prose(80)
+    rows = [(4, copy, "en", "s", 1), (4, own, "en", "s", 2), (2, copy, "en", "s", 3), (2, copy, "en", "s", 4), (None, copy, "en", "s", 5), (None, None, None, None, 6), (None, "", None, None, 7)]
+    kept = corpus_pipeline.near(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept if r["text"]) == [(2, copy), (4, own)] and len(kept) == 4
