@@ -16,10 +16,13 @@ two documents on, those with fewer than MIN_WORDS words, of which one has a lett
 SHORT_DOCS documents on.
 
 Counting is by partial sums over (line, document), so a very common line is one row a
-task. A leaf of any size is grouped whole: its lines, sorted by Spark, stream through one
-task, which holds the leaf's templates alone. Past SCAN_HEADS templates a line is compared
-with those that share a band of words with it; no template that it can join shares none, so
-the result is that of comparing all. Positions are compared by 16-bit digests of their words.
+task. A leaf's lines, sorted by Spark, stream through a task that holds templates alone.
+Past SCAN_HEADS templates a line is compared with those that share a band of words with it;
+no template that it can join shares none, so the result is that of comparing all. A leaf of
+over LEAF_LINES lines is dealt by hash to several tasks, and then their templates are
+grouped among themselves: all at once where few are left, else in rounds, by one band of
+words after another, so that any two that can be joined meet, until a cycle of rounds joins
+none. Positions are compared by 16-bit digests of their words.
 
 Cases: a null text stays null and has no lines; empty texts, and lines without words, stay
 as they are; rows with the same id are one document; rows without an id count as one
@@ -46,6 +49,8 @@ MIN_DOCS, MIN_WORDS = 3, 8
 LONG_WORDS, LONG_DOCS, SHORT_DOCS = 50, 2, 5
 #: A line is compared with all templates of its leaf up to this number of them.
 SCAN_HEADS = 256
+#: Lines, or templates, of one leaf that are grouped in one task, about.
+LEAF_LINES = 1 << 13
 #: Lines that are broadcast at most (8 or 16 bytes each); more are joined.
 BROADCAST_LINES = 1 << 20
 
@@ -158,7 +163,7 @@ class Leaf:
                         self._index(t, own)
                     self.early, bands = [], [[]] * i + self._bands(tokens[i:])
                 near = np.array(sorted({t for band in bands[i] for t in self.by_band.get(band, ())}), dtype=np.int64)
-            agree = (self.templates[:n] if near is None else self.templates[near]) == tokens[i]
+            agree = ((self.templates[:n] if near is None else self.templates[near]) == tokens[i]) & (tokens[i] >= 0)
             share = agree.sum(axis=1)
             best = int(share.argmax()) if len(share) else -1
             if best >= 0 and share[best] >= self.least:
@@ -179,42 +184,112 @@ class Leaf:
         return pairs
 
 
-def _grouped(batches):
-    """(line, template) of the lines that share a template with another; a node's lines come together, the most frequent first."""
-    node, leaves = None, {}
-    for batch in batches:
-        nodes, lines, packed = batch.column("leaf").to_numpy(), batch.column("line").to_pylist(), batch.column("digests").to_pylist()
-        widths = np.array([len(p) // 2 for p in packed], dtype=np.int64)
-        new = np.ones(len(nodes), dtype=bool)
-        new[1:] = (nodes[1:] != nodes[:-1]) | (widths[1:] != widths[:-1])  # one width a leaf, unless two leaves' hashes are equal
-        cuts, pairs = [*np.flatnonzero(new), len(nodes)], []
-        for x, y in zip(cuts[:-1], cuts[1:]):
-            if nodes[x] != node:
-                node, leaves = nodes[x], {}
-            w = int(widths[x])
-            leaf = leaves[w] = leaves.get(w) or Leaf(w)
-            pairs += leaf.add(lines[x:y], np.frombuffer(b"".join(packed[x:y]), dtype=np.uint16).reshape(-1, w).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["line", "template"])
-
-
-def templates(found: DataFrame, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+_GROUPED = "line long, template long, leaf long, n long, tokens binary"
+
+
+def _grouped(rows: DataFrame, kind) -> DataFrame:
+    """(line, template) of the lines that share a template with another in their node and part; and, where `more`, a row (line, null, leaf, n, tokens) for each template.
+
+    A part's lines come together, the most frequent first. kind: the type of the digests.
+    """
+
+    def run(batches):
+        at, leaves, heads = None, {}, []
+
+        def closed():
+            out = [(h, None, leaf, n, t.templates[k].tobytes()) for t, own in leaves.values() for k, h in enumerate(t.heads) for leaf, n in [own[h]]] if heads else []
+            heads.clear()
+            return out
+
+        def batch_of(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["line", "template", "leaf", "n", "tokens"])
+
+        for batch in batches:
+            nodes, parts = batch.column("node").to_numpy(), batch.column("part").to_numpy()
+            lines, packed, more = (batch.column(c).to_pylist() for c in ("line", "digests", "more"))
+            owner, counts = batch.column("leaf").to_pylist(), batch.column("n").to_pylist()
+            widths = np.array([len(p) // np.dtype(kind).itemsize for p in packed], dtype=np.int64)
+            new = np.ones(len(nodes), dtype=bool)
+            new[1:] = (nodes[1:] != nodes[:-1]) | (parts[1:] != parts[:-1]) | (widths[1:] != widths[:-1])  # one width a leaf, unless two leaves' hashes are equal
+            cuts, out = [*np.flatnonzero(new), len(nodes)], []
+            for x, y in zip(cuts[:-1], cuts[1:]):
+                if (nodes[x], parts[x]) != at:
+                    out += closed()
+                    at, leaves = (nodes[x], parts[x]), {}
+                w = int(widths[x])
+                leaf, own = leaves.setdefault(w, (Leaf(w), {}))
+                out += [(*p, None, None, None) for p in leaf.add(lines[x:y], np.frombuffer(b"".join(packed[x:y]), dtype=kind).reshape(-1, w).astype(np.int32))]
+                if more[x]:
+                    heads.append(True)
+                    own.update(zip(lines[x:y], zip(owner[x:y], counts[x:y])))
+                    own = {h: own[h] for h in leaf.heads}
+                    leaves[w] = (leaf, own)
+            yield batch_of(out)
+        yield batch_of(closed())
+
+    ordered = rows.repartition("node", "part").sortWithinPartitions("node", "part", F.desc("n"), "line")
+    return ordered.select("node", "part", "more", "leaf", "line", "n", "digests").mapInArrow(run, _GROUPED)
+
+
+def _banded(heads: DataFrame, r: int) -> DataFrame:
+    """The templates (leaf, line, n, digests) with band: a hash of their r-th band of words, counted round; and bands, how many they have."""
+
+    def run(batches):
+        for batch in batches:
+            band, bands = [], []
+            for packed in batch.column("digests").to_pylist():
+                tokens = np.frombuffer(packed, dtype=np.int32)
+                cuts = Leaf(len(tokens)).cuts
+                bands.append(len(cuts) - 1)
+                x, y = cuts[r % bands[-1]], cuts[r % bands[-1] + 1]
+                band.append(int(mix(_sequence(tokens.astype(U64), np.array([x]), np.array([y])) + U64(x)).view(np.int64)[0]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(band, pa.int64()), pa.array(bands, pa.int32())], names=[*batch.schema.names, "band", "bands"])
+
+    return heads.mapInArrow(run, "leaf long, line long, n long, digests binary, band long, bands int")
+
+
+def _merged(pairs: DataFrame, heads: DataFrame, leaf_lines: int) -> DataFrame:
+    """(line, template) when the templates of large leaves' parts are grouped among themselves as well."""
+    r = idle = 0
+    while True:
+        banded = stored(_banded(heads, r))
+        sizes = banded.groupBy("leaf").agg(F.count("*").alias("size"))
+        named = banded.join(sizes, "leaf").withColumn("more", F.col("size") > leaf_lines)
+        named = stored(named.withColumn("node", F.when(F.col("more"), F.xxhash64("leaf", "band")).otherwise(F.col("leaf"))))
+        state = named.agg(F.count("*").alias("n"), F.max(F.when(F.col("more"), F.col("bands"))).alias("bands")).first()
+        if not state["n"] or idle > (state["bands"] or 0):
+            return pairs
+        groups = named.groupBy(F.col("node").alias("of")).agg(F.ceil(F.count("*") / leaf_lines).cast("int").alias("parts"))
+        rows = named.join(groups, F.col("node") == F.col("of")).withColumn("part", F.pmod(F.xxhash64(F.lit(r), "line"), F.col("parts")).cast("int"))
+        out = stored(_grouped(rows, np.int32))
+        moves = out.where("template is not null").select(F.col("line").alias("of"), F.col("template").alias("to"))
+        further = pairs.join(moves, F.col("template") == F.col("of"), "left").select("line", F.coalesce("to", "template").alias("template"))
+        first = moves.join(pairs.select(F.col("line").alias("known")), F.col("of") == F.col("known"), "left_anti").select(F.col("of").alias("line"), F.col("to").alias("template"))
+        pairs = stored(further.unionByName(first))
+        heads = out.where("template is null").select("leaf", "line", "n", F.col("tokens").alias("digests"))
+        r, idle = r + 1, idle + 1 if moves.isEmpty() else 0
+
+
+def templates(found: DataFrame, broadcast_lines: int = BROADCAST_LINES, leaf_lines: int = LEAF_LINES) -> DataFrame:
     """(line, template) of the lines that share a template with another line; found: stored occurrences."""
     lines = stored(found.groupBy("leaf", "line").agg(F.count("*").alias("n")))
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("size")).where("size > 1")
-    chosen = stored(lines.join(leaves, "leaf").select("leaf", "line", "n"))
+    chosen = stored(lines.join(leaves, "leaf").select("leaf", "line", "n", F.ceil(F.col("size") / leaf_lines).cast("int").alias("parts")))
+    state = chosen.agg(F.count("*").alias("n"), F.max("parts").alias("parts")).first()
     wanted = chosen.select(F.col("line").alias("l"))
-    wanted = F.broadcast(wanted) if chosen.count() <= broadcast_lines else wanted  # 8 bytes a line; most lines' digests then stay where they are
+    wanted = F.broadcast(wanted) if state["n"] <= broadcast_lines else wanted  # 8 bytes a line; most lines' digests then stay where they are
     digests = found.select(F.col("line").alias("l"), "digests").join(wanted, "l", "left_semi").groupBy("l").agg(F.any_value("digests").alias("digests"))
-    rows = chosen.join(digests, F.col("line") == F.col("l")).select("leaf", "line", "n", "digests")
-    ordered = rows.repartition("leaf").sortWithinPartitions("leaf", F.desc("n"), "line").select("leaf", "line", "digests")
-    return stored(ordered.mapInArrow(_grouped, "line long, template long"))
+    rows = chosen.join(digests, F.col("line") == F.col("l")).withColumns({"node": F.col("leaf"), "part": F.pmod(F.xxhash64("line"), F.col("parts")).cast("int"), "more": F.col("parts") > 1})
+    out = stored(_grouped(rows, np.uint16))
+    pairs = out.where("template is not null").select("line", "template")
+    return _merged(pairs, out.where("template is null").select("leaf", "line", "n", F.col("tokens").alias("digests")), leaf_lines) if (state["parts"] or 0) > 1 else pairs
 
 
-def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES) -> tuple[DataFrame, DataFrame]:
+def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES, leaf_lines: int = LEAF_LINES) -> tuple[DataFrame, DataFrame]:
     """((line, first) of all recurring lines, the occurrences). first: the least id with the template, or with the line as it is."""
     found = stored(occurrences(docs, id_col, text_col))
     in_tree = found.where("least is null")
-    named = templates(in_tree, broadcast_lines)
+    named = templates(in_tree, broadcast_lines, leaf_lines)
     each = in_tree.select("doc", "line").distinct()
     merged = each.join(named, "line", "left_semi").join(named, "line").select(F.col("template"), "doc").distinct()
     single = each.join(named, "line", "left_anti").select(F.col("line").alias("template"), "doc")
@@ -246,12 +321,12 @@ def _cut(part: pa.RecordBatch, at: int, gone) -> tuple[pa.Array, np.ndarray, np.
     return pa.array(texts, pa.string()), n_lines, dropped
 
 
-def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_lines: int = BROADCAST_LINES, leaf_lines: int = LEAF_LINES) -> DataFrame:
     """The documents with recurring lines cut from text_col, and two more columns: the numbers of lines and of those dropped.
 
     They are named _n_lines and _n_dropped, with more underscores where docs has such columns.
     """
-    again, found = recurring(docs, id_col, text_col, min_docs, broadcast_lines)
+    again, found = recurring(docs, id_col, text_col, min_docs, broadcast_lines, leaf_lines)
     docs = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
     names = list(docs.columns)
     own = [fresh(docs, c) for c in ("_n_lines", "_n_dropped")]

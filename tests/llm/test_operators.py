@@ -354,6 +354,8 @@ def test_op7(spark):
             assert fixed not in got[i]["text"] and "log entry" not in got[i]["text"] and got[i]["_n_dropped"] == 2
             assert got[i]["text"] == "\n".join(x for x in texts[i].split("\n") if x != fixed and not x.startswith("log entry"))
     assert line_templates.dropped(frame.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, fixed), (None, fixed), (4, fixed), (4, fixed + "\n" + fixed), (9, fixed)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["_n_dropped"]) for r in line_templates.dropped(odd).collect()) == [(0, 1), (0, 1), (4, 0), (4, 0), (9, 1)]
 
 
 def greedy(tokens, least):
@@ -387,10 +389,14 @@ def test_op7_large_leaf(spark):
     def name(i):
         return "".join("abcdefghij"[int(c)] for c in str(i))
 
-    n = 5100  # one template with a name at word 6, and in the same leaf a smaller one
+    n = 3000  # one template with a name at word 6, and in the same leaf two smaller ones
     texts = [f"we have sent to Ms {name(i)} a parcel by post" for i in range(n)] + [f"we have sent you some {name(i)} more than was asked" for i in range(5)]
-    got = {r["doc_id"]: r["_n_dropped"] for r in line_templates.dropped(table(spark, texts)).collect()}
-    assert {i for i, k in got.items() if not k} == {0, n} and len(got) == n + 5
+    texts += [f"we have sent {name(i)} {name(i + 7)} of those that are left" for i in range(9)]
+    # Lines of the same leaf that share no template: no two agree in enough words.
+    apart = [f"we have sent {name(1000 + 7 * i)} {name(3 * i)} {name(5 * i)} {name(11 * i)} {name(i * i)} {name(13 * i)} {name(17 * i)}" for i in range(1, 400)]
+    for leaf_lines in (line_templates.LEAF_LINES, 200):
+        got = {r["doc_id"]: r["_n_dropped"] for r in line_templates.dropped(table(spark, texts + apart), leaf_lines=leaf_lines).collect()}
+        assert {i for i, k in got.items() if not k} == {0, n, n + 5, *range(n + 14, n + 14 + len(apart))} and len(got) == len(texts) + len(apart)
 
 
 def test_op7_long_and_short_lines(spark):
