@@ -261,8 +261,9 @@ def shingle_set(t, n):
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize("n,percent", [(3, 85), (5, 80)])
-def test_op5(spark, n, percent):
+@pytest.mark.parametrize("n,percent,block", [(3, 85, 1024), (5, 80, 1024), (3, 85, 8)])
+def test_op5(spark, monkeypatch, n, percent, block):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)  # 8: families by centres, buckets in blocks
     base = [prose(rng.randint(30, 90)) for _ in range(12)]
     texts = list(ODD) + ["one", "ONE", "two  WORDS"]
     for b in base:
@@ -291,6 +292,13 @@ def test_op5(spark, n, percent):
     assert got == {i: (len(sets[i]), find(i), find(i) == i) for i in range(len(texts))}
 
 
+def test_op5_classes_that_share_one_id(spark, monkeypatch):
+    real = minhash_dedup.sketched
+    monkeypatch.setattr(minhash_dedup, "sketched", lambda *x: real(*x).withColumn("class", F.when(F.col("class").isNotNull(), F.lit(7).cast("long"))))
+    classes, sketch = minhash_dedup._classes(minhash_dedup.sketched(table(spark, ["a b c d", "A b c d", "e f g h", None])), "doc_id")
+    assert sorted(r["_id"] for r in classes.collect()) == [0, 2] and sketch.select("class").distinct().count() == 3
+
+
 def test_op5_edges(spark):
     assert minhash_dedup.linked(table(spark, ["a b c d"]).limit(0)).count() == 0
     rows = spark.createDataFrame([(1, "same text here"), (1, "same text here"), (None, "same text here"), (2, None)], "doc_id long, text string")
