@@ -16,8 +16,8 @@
    probability of about 1e-6). So every possible link is inside one family.
 4. Families are confirmed exactly: their texts are shingled again. A family of up to BLOCK
    classes (or BLOCK_SHINGLES shingles) is one task that gets all intersection sizes from
-   products of incidence matrices. Of a larger one about the square root of its classes,
-   by hash, become centres, and every class is compared with them in blocks. Jaccard
+   products of incidence matrices. One of up to FEW_BLOCKS such blocks is compared in pairs
+   of blocks. Of a larger one about the square root of its classes, by hash, become centres, and every class is compared with them in blocks. Jaccard
    distance is a metric as well, so two linked classes of which one is linked to a centre
    are both in the centre's wider ball: what is left are the classes that visit the ball
    of a centre of another component, and those that no centre is linked to. The former
@@ -51,6 +51,8 @@ BANDS, ROWS = 32, 5
 PERCENT, WORDS = 85, 3
 CLOSE = 0.6
 BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 21, 4096
+#: Classes whose texts are fetched by a broadcast at most (40 bytes each), and blocks of a family that are compared in pairs at most.
+BROADCAST_CLASSES, FEW_BLOCKS = 1 << 20, 16
 #: Rounds of centres before what is left of a family is compared in pairs of blocks.
 ROUNDS = 3
 #: Signature agreement is a mean of BANDS * ROWS draws; so many standard deviations are allowed for.
@@ -188,10 +190,12 @@ def _across(buckets: DataFrame, agreed: DataFrame, families: DataFrame, classes:
     least = _least_agreement(percent)
     whose = families.select(F.col("class").alias("_c"), "family")
     named = buckets.join(whose, F.col("class") == F.col("_c"), "left").withColumn("family", F.coalesce("family", "class"))
+    several = named.groupBy(F.col("key").alias("_k")).agg(F.min("family").alias("lo"), F.max("family").alias("hi"), F.max(F.when(F.col("class") == F.col("pivot"), F.col("family"))).alias("own_family")).where("lo < hi")
+    rows = stored(named.drop("_c").join(several, F.col("key") == F.col("_k")).select("key", "class", "pivot", "family", (F.col("family") != F.col("own_family")).alias("apart")))
+    if rows.isEmpty():
+        return families.select(F.col("class").alias("u"), F.col("class").alias("v")).limit(0)
     near = agreed.select(F.col("class").alias("_c"), F.col("pivot").alias("_p"), "agree")
-    rows = named.select("key", "class", "pivot", "family").join(near, (F.col("class") == F.col("_c")) & (F.col("pivot") == F.col("_p")), "left").withColumn("agree", F.coalesce("agree", F.lit(_N)))
-    centre = named.where("class = pivot").select(F.col("key").alias("_k"), F.col("family").alias("own_family"))
-    rows = rows.join(centre, F.col("key") == F.col("_k")).withColumn("apart", F.col("family") != F.col("own_family"))
+    rows = rows.join(near, (F.col("class") == F.col("_c")) & (F.col("pivot") == F.col("_p")), "left").withColumn("agree", F.coalesce("agree", F.lit(_N)))
     counts = rows.groupBy("key").agg(F.count_if("apart").alias("n"), F.max(F.when(F.col("apart"), F.col("agree"))).alias("most")).where("n > 0")
     # Two classes that agree in `least` places differ by at most _N - least in what they share with the pivot.
     rows = rows.select("key", "class", "family", "agree", "apart").join(counts.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k")).where(F.col("apart") | (F.col("agree") <= F.col("most") + (_N - least)))
@@ -230,7 +234,9 @@ def _shingled(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, n
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["class", "shingles"]).filter(pa.array(right_one))
 
     texts = docs.select(F.col(id_col).alias("_own"), F.col(text_col).cast("string").alias("text"))
-    picked = texts.join(classes.select("class", "raw", "check", "_id"), F.col("_own").eqNullSafe(F.col("_id"))).select("class", "raw", "check", "text")
+    wanted = classes.select("class", "raw", "check", "_id")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_CLASSES else wanted  # else the texts are shuffled, about once the input
+    picked = texts.join(wanted, F.col("_own").eqNullSafe(F.col("_id"))).select("class", "raw", "check", "text")
     return picked.mapInArrow(again, "class long, shingles binary").dropDuplicates(["class"])
 
 
@@ -377,22 +383,34 @@ def _confirmed(families: DataFrame, classes: DataFrame, docs: DataFrame, id_col:
     named = stored(members.join(sizes, "family"))
     sets = _shingled(named, docs, id_col, text_col, n)
     rows = named.select("family", "class", "n_shingles", "blocks", "n").join(sets, "class")
-    if (named.agg(F.max("blocks")).first()[0] or 0) <= 1:
+    most = named.agg(F.max("blocks")).first()[0] or 0
+    if most <= 1:
         return stored(_within(rows, percent))
     rows = stored(rows)
-    links, left = _within(rows.where("blocks = 1"), percent), rows.where("blocks > 1").drop("blocks")
-    for salt in range(ROUNDS):
-        more, left = _by_centres(left, percent, salt)
-        links = links.unionByName(more)
-        again = left.groupBy("family").agg(_blocks(F.count("*"), F.sum("n_shingles")).alias("blocks"), F.count("*").alias("n")).withColumnRenamed("family", "_f")
-        left = stored(left.join(again, F.col("family") == F.col("_f")).drop("_f"))
-        links = links.unionByName(_within(left.where("blocks = 1"), percent))
-        left = left.where("blocks > 1").drop("blocks")
-        if left.isEmpty():
-            return stored(links)
-    blocks = left.groupBy("family").agg(_blocks(F.count("*"), F.sum("n_shingles")).alias("n0")).select(F.col("family").alias("a"), F.lit(0).cast("long").alias("b"), "n0", F.col("n0").alias("n1"))
-    both = left.select(F.col("family").alias("a"), F.lit(0).cast("long").alias("b"), "class", "shingles", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
-    return stored(links.unionByName(_between(_crossed(both, blocks), percent)))
+    links, left = _settled(rows, percent)
+    if most > FEW_BLOCKS:
+        for salt in range(ROUNDS):
+            more, left = _by_centres(left, percent, salt)
+            again = left.groupBy("family").agg(_blocks(F.count("*"), F.sum("n_shingles")).alias("blocks"), F.count("*").alias("n")).withColumnRenamed("family", "_f")
+            few, left = _settled(stored(left.join(again, F.col("family") == F.col("_f")).drop("_f")), percent)
+            links = links.unionByName(more).unionByName(few)
+            if left.isEmpty():
+                break
+        links = links.unionByName(_in_pairs(left, percent))
+    return stored(links)
+
+
+def _settled(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links of the small families, the rows of the others) of rows (family, class, n_shingles, shingles, blocks, n)."""
+    few = rows.where((F.col("blocks") > 1) & (F.col("blocks") <= FEW_BLOCKS))
+    return _within(rows.where("blocks = 1"), percent).unionByName(_in_pairs(few, percent)), rows.where(F.col("blocks") > FEW_BLOCKS).drop("blocks")
+
+
+def _in_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Spanning links of families, by all pairs of their blocks."""
+    family = [F.col("family").alias("a"), F.lit(0).cast("long").alias("b")]
+    blocks = rows.groupBy(*family).agg(_blocks(F.count("*"), F.sum("n_shingles")).alias("n0")).select("a", "b", "n0", F.col("n0").alias("n1"))
+    return _between(_crossed(rows.select(*family, "class", "shingles", F.explode(F.array(F.lit(0), F.lit(1))).alias("side")), blocks), percent)
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:

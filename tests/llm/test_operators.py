@@ -261,9 +261,10 @@ def shingle_set(t, n):
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize("n,percent,block", [(3, 85, 1024), (5, 80, 1024), (3, 85, 8)])
-def test_op5(spark, monkeypatch, n, percent, block):
-    monkeypatch.setattr(minhash_dedup, "BLOCK", block)  # 8: families by centres, buckets in blocks
+@pytest.mark.parametrize("n,percent,block,few", [(3, 85, 1024, 16), (5, 80, 8, 16), (3, 85, 8, 1)])
+def test_op5(spark, monkeypatch, n, percent, block, few):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)  # 8: buckets and families in blocks, or families by centres
+    monkeypatch.setattr(minhash_dedup, "FEW_BLOCKS", few)
     base = [prose(rng.randint(30, 90)) for _ in range(12)]
     texts = list(ODD) + ["one", "ONE", "two  WORDS"]
     for b in base:
