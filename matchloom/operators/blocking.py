@@ -93,14 +93,18 @@ def ranked(pairs: DataFrame, keep: int | None = MAX_CANDIDATES) -> DataFrame:
     return out if keep is None else out.where(F.col("rank") <= keep)
 
 
-def candidates(queries: DataFrame, targets: DataFrame, profile: str = "train", cap: int | None = MAX_BUCKET, keep: int = MAX_CANDIDATES, lexical: DataFrame | None = None) -> DataFrame:
+def candidates(queries: DataFrame, targets: DataFrame, profile: str = "train", cap: int | None = MAX_BUCKET, keep: int | None = MAX_CANDIDATES, lexical: DataFrame | None = None) -> DataFrame:
     """Ranked candidates of normalised query records among normalised targets.
 
     The train profile caps buckets; the index profile has none. `lexical` adds pairs
     (s1_id, cand_id) of another retriever, ranked after all rules.
+
+    Only a bucket's first `keep` ids can be kept by any query: all others come after
+    those of their bucket in the order (rule, id), also where a rule before holds. So no
+    key is joined with more than `keep` rows, and the result is that of the whole join.
     """
-    index = block_keys(targets, profile)
-    index = capped(index, cap) if profile == "train" else index
+    caps = [c for c in (cap if profile == "train" else None, keep) if c is not None]
+    index = capped(block_keys(targets, profile), min(caps, default=None))
     pairs = bucket_pairs(block_keys(queries, profile), index)
     if lexical is not None:
         pairs = pairs.unionByName(lexical.select("s1_id", "cand_id", F.lit(9).alias("rule")))
