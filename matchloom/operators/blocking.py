@@ -127,3 +127,17 @@ def target_index(sources: list[DataFrame], per_source: int | None = None) -> Dat
         order = W.partitionBy(F.substring("entity_id", 1, 2)).orderBy("entity_id")
         rows = rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_source).drop("_n")
     return rows
+
+
+def records_of(records: DataFrame, lists: DataFrame) -> DataFrame:
+    """The records whose id is among those of a truth sample (s1_id, ...)."""
+    return records.join(lists.select(F.col("s1_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
+
+
+def sampled_targets(targets: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """The needed targets (cand_id), and of each source the first size // 2 by id."""
+    wanted = needed.select(F.col("cand_id").alias("entity_id")).distinct().withColumn("_needed", F.lit(True))
+    order = W.partitionBy(F.substring("entity_id", 1, 2)).orderBy("entity_id")
+    first = targets.select("entity_id").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= size // 2).select("entity_id", F.lit(True).alias("_first"))
+    rows = targets.join(wanted, "entity_id", "left").join(first, "entity_id", "left")
+    return rows.where(F.coalesce("_needed", F.lit(False)) | F.coalesce("_first", F.lit(False))).drop("_needed", "_first")

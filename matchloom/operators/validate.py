@@ -61,6 +61,13 @@ def list_violations(rows: DataFrame, required: DataFrame, known: DataFrame | Non
     return out.unionByName(have.join(required, "id", "left_anti").select(F.lit("extra_s1").alias("rule"), F.col("id").alias("offender"))).distinct()
 
 
+def list_counters(rows: DataFrame) -> DataFrame:
+    """One row about a result table (s1_id, list): rows, different ids, rows with an empty list, ids listed."""
+    empty = F.trim(F.coalesce("list", F.lit(""))) == ""
+    listed = F.when(empty, 0).otherwise(F.size(F.split("list", ",")))
+    return rows.agg(F.count("*").alias("total_rows"), F.count_distinct("s1_id").alias("entities"), F.count_if(empty).alias("empty_rows"), F.coalesce(F.sum(listed), F.lit(0)).cast("long").alias("listed_ids"))
+
+
 def not_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     """(rule, offender): matched ids that are not among the entity's candidates - a warning. Both (s1_id, list)."""
     a, b = (x.where("list <> ''").select("s1_id", F.explode(F.split("list", ",")).alias("id")) for x in (matches, candidates))

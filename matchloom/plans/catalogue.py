@@ -136,6 +136,26 @@ def target_index_whole(spark, sf_dir):
     return B.target_index([Linkage(spark, sf_dir).targets_raw])
 
 
+@_query("truth_sample_records", O.query("SELECT entity_id, business_name, country FROM er_s1 WHERE entity_id IN (SELECT s1_id FROM truth WHERE len(matches) = 2)"))
+def truth_sample_records(spark, sf_dir):
+    """The query records of a sample of the truth: here the entities with two matches."""
+    link = Linkage(spark, sf_dir)
+    return B.records_of(link.queries_raw, link.truth.where("size(matches) = 2")).select("entity_id", "business_name", "country")
+
+
+@_query("target_sample", O.query("""SELECT entity_id, business_name, country FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY entity_id) AS n FROM rec WHERE source <> 'S1')
+  WHERE n <= 50 OR entity_id IN (SELECT unnest(matches) FROM truth WHERE len(matches) = 2)"""))
+def target_sample(spark, sf_dir):
+    """Targets that a truth sample needs, and the first of each source: the limit is the operator's feature."""
+    link = Linkage(spark, sf_dir)
+    return B.sampled_targets(link.targets_raw, R.truth_pairs(link.truth.where("size(matches) = 2")), 100).select("entity_id", "business_name", "country")
+
+
+@_query("sub_counters", O.query("SELECT count(*) AS total_rows, count(DISTINCT s1_id) AS entities, count_if(trim(list) = '') AS empty_rows, sum(CASE WHEN trim(list) = '' THEN 0 ELSE len(string_split(list, ',')) END)::BIGINT AS listed_ids FROM faulty"))
+def sub_counters(spark, sf_dir):
+    return V.list_counters(Linkage(spark, sf_dir).faulty())
+
+
 @_query("id_prefixes", O.query("SELECT entity_id, starts_with(entity_id, 'S1-') AS is_s1, starts_with(entity_id, 'S2-') AS is_s2 FROM er_all"))
 def id_prefixes(spark, sf_dir):
     return Linkage(spark, sf_dir).all_raw.select("entity_id", V.has_prefix("entity_id", "S1-").alias("is_s1"), V.has_prefix("entity_id", "S2-").alias("is_s2"))
