@@ -16,23 +16,25 @@ from pyspark.sql.types import StringType
 from . import patterns as P
 
 _FLAGS = "(?iU)"
+#: The white space of ASCII, with its four separators.
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
 @F.pandas_udf(StringType())
 def _unaccented(texts: pd.Series) -> pd.Series:
     def one(t):
-        if t is None:
-            return ""
-        if not t.isascii():
-            t = "".join(c for c in unicodedata.normalize("NFKD", t) if not "̀" <= c <= "ͯ")
-        return t.lower().strip()
+        return None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not "̀" <= c <= "ͯ").lower().strip()
 
-    return texts.map(one).fillna("")
+    return texts.map(one)
 
 
 def normalize_unicode(text: Column) -> Column:
-    """Compatibility decomposition without combining marks, lower case, trimmed."""
-    return _unaccented(text)
+    """Compatibility decomposition without combining marks, lower case, trimmed; null is ''.
+
+    Only texts with a character beyond ASCII go through Python; the others send a null there.
+    """
+    other = F.when(F.octet_length(text) != F.char_length(text), text)
+    return F.coalesce(_unaccented(other), F.btrim(F.lower(text), F.lit(_BLANKS)), F.lit(""))
 
 
 def replaced(text: Column, pattern: str, by: str) -> Column:

@@ -13,19 +13,42 @@ from ..functions import text as X
 MAX_CANDIDATES, MAX_BUCKET, PREFIX = 25, 200, 6
 
 
-def normalised(records: DataFrame) -> DataFrame:
-    """Records with all views of name and address, and the address's components."""
-    rows = records.select(F.trim("entity_id").alias("entity_id"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("business_name", "business_address", "country")])
-    rows = rows.withColumn("source", F.substring("entity_id", 1, 2)).withColumn("basic", X.name_basic(F.col("business_name"))).withColumn("addr", X.address_basic(F.col("business_address")))
-    rows = rows.withColumn("legal", X.name_legal(F.col("basic")))
-    rows = rows.withColumns({"compact": X.compact(F.col("legal")), "tokens": X.tokens(F.col("legal")), "addr_compact": X.compact(F.col("addr")), "addr_tokens": X.tokens(F.col("addr"))})
+def _named(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("basic", X.name_basic(F.col("business_name"))).withColumn("legal", X.name_legal(F.col("basic")))
+    rows = rows.withColumns({"compact": X.compact(F.col("legal")), "tokens": X.tokens(F.col("legal"))})
+    return rows.withColumn("ngrams", X.ngrams(F.col("compact")))
+
+
+def _addressed(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("addr", X.address_basic(F.col("business_address")))
+    rows = rows.withColumns({"addr_compact": X.compact(F.col("addr")), "addr_tokens": X.tokens(F.col("addr"))})
+    return rows.withColumn("addr_ngrams", X.ngrams(F.col("addr_compact")))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
     address, country = F.col("business_address"), F.col("country")
-    return rows.withColumns(
-        {
-            "ngrams": X.ngrams(F.col("compact")), "addr_ngrams": X.ngrams(F.col("addr_compact")),
-            "postal": X.postal_code(address, country), "house": X.house_number(address), "state": X.state(address, country),
-        }
-    )
+    return rows.withColumns({"postal": X.postal_code(address, country), "house": X.house_number(address), "state": X.state(address, country)})
+
+
+def _apart(rows: DataFrame, views: list[str]) -> DataFrame:
+    """The same rows, with the views generated: the optimizer merges no later projection with theirs."""
+    return rows.select(*[c for c in rows.columns if c not in views], F.inline(F.array(F.struct(*views))))
+
+
+def normalised(records: DataFrame, whole: bool = False) -> DataFrame:
+    """Records with all views of name and address, and the address's components.
+
+    One projection of all views outgrows compiled code. With `whole`, for a caller that
+    needs every view, name, address and components are computed one after the other.
+    """
+    rows = records.select(F.trim("entity_id").alias("entity_id"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("business_name", "business_address", "country")])
+    rows = rows.withColumn("source", F.substring("entity_id", 1, 2))
+    for step in (_named, _addressed, _placed):
+        before = rows.columns
+        rows = step(rows)
+        if whole:
+            rows = _apart(rows, [c for c in rows.columns if c not in before])
+    return rows
 
 
 def distinctive_tokens(tokens: Column, least: int = 4, keep: int = 2) -> Column:

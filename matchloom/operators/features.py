@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 
+# The feature columns, in order.
 NAME = [
     "name_exact_raw", "name_exact_basic", "name_exact_legal", "name_exact_compact", "name_lev_basic", "name_lev_legal", "name_jw_basic",
     "name_jw_legal", "name_token_sort", "name_token_set", "name_jaccard_tokens", "name_ngram_jaccard", "name_prefix_sim",

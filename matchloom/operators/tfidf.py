@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 #: Vocabulary size, results a query, and n-gram lengths.
 MAX_FEATURES, TOP_K, LENGTHS = 15000, 5, (3, 4)
 #: Targets in a dense block, and queries broadcast at once.
@@ -89,9 +91,11 @@ def top_k(queries: DataFrame, targets: DataFrame, k: int = TOP_K, max_features:
     known = vocabulary.collect()
     places = {r["term"]: i for i, r in enumerate(known)}
     idf = spark.createDataFrame([(r["term"], r["idf"]) for r in known], "term string, idf double")
-    asked = _packed(_weighted(_grams(queries), idf), places).persist()
+    asked = stored(_packed(_weighted(_grams(queries), idf), places))
     passes = max(1, -(-asked.count() // PASS))
     packed, width, found = _packed(index, places), len(places), None
+    if passes > 1:
+        packed = stored(packed)
     for p in range(passes):
         own = [(r["id"], np.array(r["terms"], np.int64), np.array(r["ws"])) for r in asked.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p).toLocalIterator()]
         shipped = spark.sparkContext.broadcast(own)

@@ -15,6 +15,7 @@ from ..operators import pairs as TP
 from ..operators import tfidf as TF
 from ..operators import validate as V
 from ..sources import records as R
+from ..sources.shared import stored
 from . import oracle as O
 
 QUERIES: dict = {}
@@ -35,7 +36,7 @@ class Linkage:
     """The derived tables of a data folder and the steps built on them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self._sides = spark, sf_dir, None
         tables = R.derived_all(spark, sf_dir)
         self.queries_raw, self.targets_raw = tables["er_s1"], tables["er_s2"].unionByName(tables["er_s3"])
         self.all_raw = self.queries_raw.unionByName(self.targets_raw)
@@ -45,7 +46,11 @@ class Linkage:
         return B.normalised(self.all_raw)
 
     def sides(self) -> tuple[DataFrame, DataFrame]:
-        return B.normalised(self.queries_raw), B.normalised(self.targets_raw)
+        """Both sides' views, computed once however many steps read them."""
+        if self._sides is None:
+            rows = stored(B.normalised(self.all_raw, whole=True))
+            self._sides = rows.where("source = 'S1'"), rows.where("source <> 'S1'")
+        return self._sides
 
     def candidates(self, profile: str = "train") -> DataFrame:
         return B.candidates(*self.sides(), profile=profile)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of the files.
 RECORD = ["entity_id", "business_name", "business_address", "country"]
 TRUTH = ["source1_entity_id", "matched_entity_ids"]
 MATCHES, CANDIDATES = TRUTH, ["source1_entity_id", "candidate_entity_ids"]
@@ -15,11 +16,16 @@ def _strings(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_tsv(spark: SparkSession, path: str, columns: list[str] = RECORD, quoting: bool = False) -> DataFrame:
-    """Rows of a TSV with a header: short rows padded, long ones cut, blank ones skipped, nothing null."""
+def read_tsv(spark: SparkSession, path: str, columns: list[str] = RECORD, quoting: bool = False, limit: int | None = None, use: list[str] | None = None) -> DataFrame:
+    """Rows of a TSV with a header: short rows padded, long ones cut, blank ones skipped, nothing null.
+
+    limit: only the first rows. use: only these columns, which prunes the scan.
+    """
     reader = spark.read.schema(_strings(columns)).option("sep", "\t").option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", True)
     rows = reader.option("quote", '"' if quoting else "").option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
-    return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns]).where(F.concat(*columns) != "")
+    rows = rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns]).where(F.concat(*columns) != "")
+    rows = rows if use is None else rows.select(*use)
+    return rows if limit is None else rows.limit(limit)
 
 
 def read_raw_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -30,8 +36,10 @@ def read_raw_tsv(spark: SparkSession, path: str) -> DataFrame:
     return rows.where((F.col("entity_id") != "") & (F.lower("entity_id") != RECORD[0]))
 
 
-def read_truth(spark: SparkSession, path: str) -> DataFrame:
-    return truth_lists(read_tsv(spark, path, TRUTH))
+def read_truth(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """(s1_id, matches) of a truth file, or of its first rows; of rows with one id the last holds."""
+    rows = read_tsv(spark, path, TRUTH, limit=limit).withColumn("place", F.monotonically_increasing_id())
+    return truth_lists(rows.groupBy(F.trim(TRUTH[0]).alias(TRUTH[0])).agg(F.max_by(TRUTH[1], "place").alias(TRUTH[1])))
 
 
 def truth_lists(rows: DataFrame) -> DataFrame:
