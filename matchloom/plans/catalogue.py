@@ -15,7 +15,7 @@ from ..operators import pairs as TP
 from ..operators import tfidf as TF
 from ..operators import validate as V
 from ..sources import records as R
-from ..sources.shared import stored
+from ..sources.shared import scratch, stored
 from . import oracle as O
 
 QUERIES: dict = {}
@@ -161,6 +161,16 @@ def sub_counters(spark, sf_dir):
     return V.list_counters(Linkage(spark, sf_dir).faulty())
 
 
+@_query("index_probe", O.query("SELECT count(*) AS indexed FROM rec WHERE source <> 'S1'"))
+def index_probe(spark, sf_dir):
+    """Rows of a target index that was built and stored, as the probe finds them."""
+    from . import jobs as J
+
+    path = scratch(spark)
+    J.target_store(spark, path, Linkage(spark, sf_dir).targets_raw)
+    return spark.createDataFrame([(J.index_size(spark, path),)], "indexed bigint")
+
+
 @_query("id_prefixes", O.query("SELECT entity_id, starts_with(entity_id, 'S1-') AS is_s1, starts_with(entity_id, 'S2-') AS is_s2 FROM er_all"))
 def id_prefixes(spark, sf_dir):
     return Linkage(spark, sf_dir).all_raw.select("entity_id", V.has_prefix("entity_id", "S1-").alias("is_s1"), V.has_prefix("entity_id", "S2-").alias("is_s2"))
@@ -469,14 +479,13 @@ def hybrid_blend(spark, sf_dir):
 
 
 def _trained(link: Linkage):
-    from ..operators import models as M
+    from . import jobs as J
 
     a, b = link.sides()
     split = TP.split_entities(link.truth)
     pairs = TP.training_pairs(link.truth, link.candidates()).join(split, "s1_id")
-    rows = FT.features(pairs, a, b).persist()
-    train = rows.where("split = 'train'")
-    return M.HybridLinker(M.train_boosted(train), M.train_forest(train), 0.5, 0.5), rows
+    rows = stored(FT.features(pairs, a, b))
+    return J.fitted(rows, link.truth), rows
 
 
 @_query("hybrid_scores")
