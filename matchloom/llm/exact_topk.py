@@ -11,7 +11,9 @@ candidates, a lower bound of the true k-th best, so that partitions emit little.
 sample only saves work; every candidate is examined and results are exact.
 
 Queries go in passes of at most PASS_BYTES, broadcast, over all candidates; candidates
-are never shuffled. Per pass only each partition's best k a query move.
+are never shuffled. Per pass only each partition's best k a query move. A pass's pairs are
+held for one batch of queries and one block of candidates, on the driver (sample) and in
+tasks, and its broadcast goes when its results are stored.
 
 Sums are exact in doubles where both vectors are narrow: components of at most
 2**26 / sqrt(dimensions). Pairs with a wide vector are pruned in the same way with the
@@ -63,11 +65,12 @@ def _whole(queries: np.ndarray, q: np.ndarray, vertical: np.ndarray, c: np.ndarr
     return np.array([min(max(sum(map(mul, left[i], right[j])), _MIN), _MAX) for i, j in zip(q.tolist(), c.tolist())], dtype=np.int64)
 
 
-def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_ids: np.ndarray, vertical: np.ndarray, exact: bool = True):
+def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_ids: np.ndarray, vertical: np.ndarray, exact: bool = True, k: int | None = None):
     """(query index, candidate index, score) of all pairs that can be in a query's best k of this block.
 
     queries: (n, dims); vertical: (dims, m); floors: per query, a lower bound of its k-th
-    best score; exact: whether all sums are exact in doubles.
+    best score; exact: whether all sums are exact in doubles; k: of dense blocks whose sums
+    are exact, only a query's k best pairs and those equal to the k-th are listed.
     """
     dims, other = len(vertical), q_ids[:, None] != c_ids[None, :]
     if dims == 0 or not exact and max(np.abs(queries).max(initial=0.0), np.abs(vertical).max(initial=0.0)) > _HUGE:
@@ -95,6 +98,9 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, c_i
                 break
     if at == dims:
         can = partial + error[:, None] * most[alive] >= floors[:, None]
+        if exact and k and len(alive) > k and can.mean() * len(alive) > 2 * k:
+            # The own k-th best of this block is a floor, too.
+            can &= partial >= np.partition(np.where(other[:, alive], partial, -np.inf), len(alive) - k, axis=1)[:, len(alive) - k, None]
     can &= other[:, alive]
     q, c = np.nonzero(can)
     score, c = partial[q, c], alive[c]
@@ -127,9 +133,10 @@ class Search:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, floors: np.ndarray, k: int):
         self.ids, self.vectors, self.floors, self.k = ids, vectors, floors.astype(float), k
-        self.q, self.c, self.s = (np.zeros(0, np.int64) for _ in range(3))
         big = wide(vectors)
         self.batches = [(own[b : b + BATCH], w) for w in (False, True) for own in [np.flatnonzero(big == w)] for b in range(0, len(own), BATCH)]
+        # Per batch (query index in the batch, candidate, score): pairs of one batch and one block are held at a time.
+        self.found = [tuple(np.zeros(0, np.int64) for _ in range(3)) for _ in self.batches]
 
     def add(self, c_ids: np.ndarray, candidates: np.ndarray) -> None:
         big = wide(candidates)
@@ -139,16 +146,31 @@ class Search:
                 self._add(c_ids[own[at : at + BLOCK]], np.ascontiguousarray(candidates[own[at : at + BLOCK]].T), w)
 
     def _add(self, ids: np.ndarray, vertical: np.ndarray, is_wide: bool) -> None:
-        found = [(self.q, self.c, self.s)]
-        for part, w in self.batches:
-            q, c, s = search_block(self.ids[part], self.vectors[part], self.floors[part], ids, vertical, not (w or is_wide))
-            found.append((part[q], ids[c], s))
-        q, c, s = (np.concatenate(x) for x in zip(*found))
-        keep = best(q, c, s, self.k)
-        self.q, self.c, self.s = q[keep], c[keep], s[keep]
-        counts = np.bincount(self.q, minlength=len(self.ids))
-        full = counts >= self.k
-        self.floors[full] = np.maximum(self.floors[full], _floor(self.s[(np.cumsum(counts) - 1)[full]]))
+        for b, (part, w) in enumerate(self.batches):
+            q, c, s = search_block(self.ids[part], self.vectors[part], self.floors[part], ids, vertical, not (w or is_wide), self.k)
+            if not len(q):
+                continue
+            q, c, s = (np.concatenate(x) for x in zip(self.found[b], (q, ids[c], s)))
+            keep = best(q, c, s, self.k)
+            self.found[b] = q, c, s = q[keep], c[keep], s[keep]
+            counts = np.bincount(q, minlength=len(part))
+            full = counts >= self.k
+            self.floors[part[full]] = np.maximum(self.floors[part[full]], _floor(s[(np.cumsum(counts) - 1)[full]]))
+
+    def _column(self, i: int) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *[x[i] if i else part[x[0]] for x, (part, _) in zip(self.found, self.batches)]])
+
+    @property
+    def q(self) -> np.ndarray:
+        return self._column(0)
+
+    @property
+    def c(self) -> np.ndarray:
+        return self._column(1)
+
+    @property
+    def s(self) -> np.ndarray:
+        return self._column(2)
 
 
 def _valid(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -202,7 +224,9 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
         part = valid.mapInArrow(run, "query_id long, vec_id long, score long")
         ranked = part.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
         part = ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-        part = stored(part) if passes > 1 else part
+        if passes > 1:
+            part = stored(part)
+            shipped.destroy()  # the driver holds one pass
         found = part if found is None else found.unionByName(part)
     return found
 

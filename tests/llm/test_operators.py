@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from re import _constants as sre_constants
 from re import _parser as sre_parser
@@ -167,6 +168,21 @@ def test_op2_pruning_is_exact():
         assert best == mine
 
 
+def test_op2_memory_is_that_of_one_batch():
+    g = np.random.default_rng(5)
+    data = np.floor(64 * g.normal(size=(6000, 16)))
+    search = exact_topk.Search(np.arange(6000), data, np.full(6000, -np.inf), 20)
+    tracemalloc.start()
+    search.add(np.arange(2000), data[:2000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6  # all pairs at once: 12 million of 24 bytes
+    for q in (0, 1999, 5999):
+        full = data[q] @ data[:2000].T
+        best = sorted((-int(full[c]), c) for c in range(2000) if c != q)[:20]
+        assert best == sorted((-s, c) for s, c in zip(search.s[search.q == q].tolist(), search.c[search.q == q].tolist()))
+
+
 @pytest.mark.parametrize("block_tokens,range_tokens", [(500, 100), (1 << 20, 1 << 21)])
 def test_op3(spark, block_tokens, range_tokens):
     texts = ODD + [prose(rng.randint(0, 80)) for _ in range(60)] + [prose(1500)]
