@@ -35,17 +35,31 @@ def _unit(weights: DataFrame) -> DataFrame:
     return weights.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def fit(targets: DataFrame, max_features: int = MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
-    """((term, idf) of the vocabulary, unit weights (id, term, w) of the targets) from (id, text).
+def _units(rows: DataFrame) -> DataFrame:
+    """(id, texts) of (id, text): the texts of an id count together."""
+    return rows.groupBy("id").agg(F.array_sort(F.collect_list("text")).alias("texts"))
 
-    The vocabulary keeps the terms with most occurrences, ties by term: a partial
-    aggregate and a top-k, never a sort of all rows.
+
+def _classes(units: DataFrame) -> DataFrame:
+    """(class, texts, copies): units with the same texts are one class, named by its least id."""
+    return units.groupBy("texts").agg(F.min("id").alias("class"), F.count("*").alias("copies"))
+
+
+def _texts(classes: DataFrame) -> DataFrame:
+    return classes.select(F.col("class").alias("id"), F.explode("texts").alias("text"))
+
+
+def fit(classes: DataFrame, n: int, max_features: int = MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
+    """((term, idf) of the vocabulary, unit weights (id, term, w) of the classes) of n targets.
+
+    The vocabulary keeps the terms with most occurrences in all copies, ties by term: a
+    partial aggregate and a top-k, never a sort of all rows.
     """
-    grams = _grams(targets)
-    n = targets.agg(F.count("*").alias("n"))
-    counted = grams.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
+    grams = _grams(_texts(classes))
+    weighed = grams.join(classes.select(F.col("class").alias("id"), "copies"), "id")
+    counted = weighed.groupBy("term").agg(F.sum(F.col("tf") * F.col("copies")).alias("total"), F.sum("copies").alias("df"))
     kept = counted.orderBy(F.desc("total"), "term").limit(max_features)
-    vocabulary = kept.crossJoin(F.broadcast(n)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))  # one row beside each
+    vocabulary = kept.select("term", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf"))
     return vocabulary, _weighted(grams, vocabulary)
 
 
@@ -82,20 +96,24 @@ class _Best:
 def top_k(queries: DataFrame, targets: DataFrame, k: int = TOP_K, max_features: int = MAX_FEATURES) -> DataFrame:
     """(s1_id, cand_id, cosine, rank): the best targets of each query (id, text) with a common term, ties by id.
 
-    Scores come from products of blocks: targets stay where they are as dense blocks over
-    the vocabulary (its size is a parameter), queries are broadcast in passes of PASS
-    rows. Rows of pairs that share a term are never made, however common the term.
+    Equal texts are scored once: classes of them meet, and a query's best k targets lie in
+    its best k classes by (score, least id), of each of which the first k ids can count.
+    Scores come from products of blocks: target classes stay where they are as dense blocks
+    over the vocabulary (its size is a parameter), query classes are broadcast in passes of
+    PASS rows. Rows of pairs that share a term are never made, however common the term.
     """
     spark = targets.sparkSession
-    vocabulary, index = fit(targets, max_features)
+    asking, units = stored(_units(queries)), stored(_units(targets))
+    classes, ask_classes = stored(_classes(units)), stored(_classes(asking))
+    vocabulary, index = fit(classes, targets.count(), max_features)
     known = vocabulary.collect()
     places = {r["term"]: i for i, r in enumerate(known)}
     idf = spark.createDataFrame([(r["term"], r["idf"]) for r in known], "term string, idf double")
-    asked = stored(_packed(_weighted(_grams(queries), idf), places))
+    asked = stored(_packed(_weighted(_grams(_texts(ask_classes)), idf), places))
     passes = max(1, -(-asked.count() // PASS))
-    packed, width, found = _packed(index, places), len(places), None
-    if passes > 1:
-        packed = stored(packed)
+    width, found = len(places), None
+    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), classes.count() // (2 * BLOCK)))
+    packed = stored(_packed(index, places).repartition(tasks, "id"))
     for p in range(passes):
         own = [(r["id"], np.array(r["terms"], np.int64), np.array(r["ws"])) for r in asked.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p).toLocalIterator()]
         shipped = spark.sparkContext.broadcast(own)
@@ -112,9 +130,15 @@ def top_k(queries: DataFrame, targets: DataFrame, k: int = TOP_K, max_features:
                     scores = np.stack([ws @ dense[terms] for _, terms, ws in rows]) if rows else np.zeros((0, len(part["id"])))
                     best.add(np.round(scores, 9), np.array(part["id"], object))
             names = np.array([i for i, _, _ in rows], object)
-            yield pa.RecordBatch.from_arrays([pa.array(names[best.q].tolist(), pa.string()), pa.array(best.ids.tolist(), pa.string()), pa.array(best.s)], names=["s1_id", "cand_id", "cosine"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[best.q].tolist(), pa.string()), pa.array(best.ids.tolist(), pa.string()), pa.array(best.s)], names=["asking", "class", "cosine"])
 
-        part = packed.mapInArrow(run, "s1_id string, cand_id string, cosine double")
+        part = packed.mapInArrow(run, "asking string, class string, cosine double")
         found = part if found is None else found.unionByName(part)
-    order = W.partitionBy("s1_id").orderBy(F.desc("cosine"), "cand_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    first = units.withColumn("n", F.row_number().over(W.partitionBy("texts").orderBy("id"))).where(F.col("n") <= k).select("texts", F.col("id").alias("cand_id"))
+    first = first.join(classes.select("texts", "class"), "texts").drop("texts")
+    places_of = W.partitionBy("asking").orderBy(F.desc("cosine"), "class")
+    by_class = found.withColumn("n", F.row_number().over(places_of)).where(F.col("n") <= k).join(first, "class")
+    order = W.partitionBy("asking").orderBy(F.desc("cosine"), "cand_id")
+    ranked = by_class.select("asking", "cand_id", "cosine", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k)
+    own = asking.join(ask_classes.select("texts", F.col("class").alias("asking")), "texts").select("asking", F.col("id").alias("s1_id"))
+    return own.join(ranked, "asking").select("s1_id", "cand_id", "cosine", "rank")

@@ -12,6 +12,7 @@ from matchloom.operators import decide as D
 from matchloom.operators import evaluate as E
 from matchloom.operators import features as FT
 from matchloom.operators import pairs as TP
+from matchloom.operators import tfidf as TF
 from matchloom.operators import validate as V
 from matchloom.plans.catalogue import Linkage
 from matchloom.sources import records as R
@@ -128,6 +129,23 @@ def test_f05(spark, true, pred, expected):
     assert (got["precision"], got["recall"], got["f05"]) == pytest.approx(expected, abs=1e-6)
 
 
+def test_tfidf_scores_equal_texts_once(spark):
+    texts = ["large ring", "hot bolt", "blue ring", "large bolt 7", "hot ring"]
+    rows = [(f"S2-{i:03d}", texts[i % 5]) for i in range(60)] + [("S2-900", "zinc"), ("S2-901", None)]
+    queries = spark.createDataFrame([(f"S1-{i}", texts[i % 2]) for i in range(7)] + [("S1-x", "qqq"), ("S1-y", None)], "id string, text string")
+    targets = spark.createDataFrame(rows, "id string, text string")
+    assert TF._classes(TF._units(targets)).count() == 7  # one for each text, and that of no text
+    got = {}
+    for r in TF.top_k(queries, targets, k=15).orderBy("s1_id", "rank").collect():
+        got.setdefault(r["s1_id"], []).append((r["cand_id"], r["cosine"], r["rank"]))
+    assert sorted(got) == [f"S1-{i}" for i in range(7)]
+    for i in range(7):
+        own = got[f"S1-{i}"]
+        assert [c for c, _, _ in own[:12]] == [f"S2-{j:03d}" for j in range(60) if j % 5 == i % 2] and [n for _, _, n in own] == list(range(1, 16))
+        assert all(x == pytest.approx(1, abs=1e-8) for _, x, _ in own[:12]) and all(x == own[12][1] < 1 for _, x, _ in own[12:])
+        assert [c for c, _, _ in own[12:]] == sorted(c for c, _, _ in own[12:]) and own == got[f"S1-{i % 2}"]
+
+
 def test_split_and_pairs(spark):
     link = Linkage(spark, SMOKE)
     split = TP.split_entities(link.truth).groupBy("split").count().collect()
