@@ -14,10 +14,13 @@ numbers and their 64-bit hashes) in the shared folder. Everything that concerns
 corpus - words, n-grams level by level, context sums - goes through one exchange: each
 block sends every different key once with its local figures, in packed sorted runs cut
 by ranges of the hash; each range is summed up in one small task and the sums go back to
-the blocks that asked. Blocks and answers are tables bucketed by block, so an answer moves
-once, and a block takes up its state again from them without a shuffle. Ranges cut by hash are even however frequent a word is, since a
-key is one entry a block; their number grows with the corpus, and so does the tree. No
-table of words or n-grams is broadcast or collected: the driver gets two totals.
+the blocks that asked. Which n-grams a level needs follows from counts alone, so they are
+asked for together with the contexts of the level before: DEPTH + 2 rounds. Blocks and
+answers are tables bucketed by block, so an answer moves once, and a block takes up its
+state again from them without a shuffle; of the first and largest level it keeps the
+numbering, so that is not sorted again. Ranges cut by hash are even however frequent a
+word is, since a key is one entry a block; their number grows with the corpus, and so does
+the tree. No table of words or n-grams is broadcast or collected: the driver gets two totals.
 
 Keys are told apart by 64 bits. Cases: a null or empty text is its end token alone; a
 null id counts as the empty text for the split (so it is held out); repeated rows count
@@ -47,7 +50,7 @@ DISCOUNT, DIVERGENCE = 0.5, 0.05
 ADDED = 0.1
 BLOCK_TOKENS, RANGE_TOKENS, LEAST_RANGES = 1 << 19, 1 << 20, 12
 #: Blocks in one Arrow batch; buckets of the blocks' tables at most.
-ROWS, MOST_BUCKETS = 2, 20_000
+ROWS, MOST_BUCKETS = 1, 20_000
 #: One document in FOLDS is held out, by crc32 of its id.
 FOLDS = 10
 
@@ -56,14 +59,19 @@ _CODEC = "zstd"
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return len(a).to_bytes(8, "little") + a.dtype.str[1:].encode().ljust(4) + pa.compress(a.tobytes(), codec=_CODEC, asbytes=True) if len(a) else b""
+    """Compressed by the numbers' bytes: all lowest ones, then all of the next place, and so on."""
+    if not len(a):
+        return b""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T)
+    return len(a).to_bytes(8, "little") + a.dtype.str[1:].encode().ljust(4) + pa.compress(planes, codec=_CODEC, asbytes=True)
 
 
 def _unpack(b: bytes, kind: str) -> np.ndarray:
     if not b:
         return np.zeros(0, kind)
     n, dtype = int.from_bytes(b[:8], "little"), np.dtype(b[8:12].decode().strip())
-    return np.frombuffer(pa.decompress(b[12:], decompressed_size=n * dtype.itemsize, codec=_CODEC, asbytes=True), dtype)
+    planes = np.frombuffer(pa.decompress(memoryview(b)[12:], decompressed_size=n * dtype.itemsize, codec=_CODEC), np.uint8)
+    return np.ascontiguousarray(planes.reshape(dtype.itemsize, n).T).view(dtype).ravel()
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -102,8 +110,8 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
             ids = [i for p in held_back for i in p[0]]
             flags = [f for p in held_back for f in p[1]]
             sizes, hashes = np.concatenate([p[2] for p in held_back]), np.concatenate([p[3] for p in held_back])
-            vocab, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-            order = np.argsort(-counts, kind="stable")
+            vocab, _, inverse = _distinct(hashes)
+            order = np.argsort(-np.bincount(inverse), kind="stable")
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order), dtype=np.int32)
             columns = [[place], [ids], [flags], [_pack(sizes)], [vocab[order].tobytes()], [_pack(rank[inverse])], [len(hashes)]]
@@ -128,83 +136,150 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
 class Block:
     """One block's tokens, and its figures as the answers to its questions come in.
 
-    ask_...() gives the keys (sorted, unique) and, if asked for, the values of the next
-    question; tell_...() takes the sums over all blocks. Questions: words; then for every
-    level the n-grams and, when their counts are back, the contexts.
+    ask_...() gives the keys (sorted, unique) and the values of the next question;
+    tell_...() takes the sums over all blocks. Questions: words; then n-grams level by
+    level; and, when their counts are back, the contexts of that level, which go together
+    with the n-grams of the next: those follow from counts alone. Only numbers of n-grams,
+    their counts and the masses of contexts are kept: keys follow from the words,
+    probabilities from all levels so far.
     """
 
     def __init__(self, sizes: np.ndarray, held: np.ndarray, vocab: np.ndarray, tokens: np.ndarray):
         self.sizes, self.held, self.vocab, self.tokens = sizes, held, vocab, tokens
-        self.offs = np.concatenate([[0], np.cumsum(sizes)])
-        self.train = np.repeat(~held, sizes)
-        self.place = np.arange(len(tokens), dtype=np.int32) - np.repeat(self.offs[:-1].astype(np.int32), sizes)
-        self.level = 0
-        self.order = np.argsort(vocab)
-
-    def ask_words(self, values: bool = True):
-        if not values:
-            return None
-        counts = np.bincount(self.tokens[self.train], minlength=len(self.vocab))
-        return self.vocab[self.order], [counts[self.order].astype(np.float64)]
-
-    def tell_words(self, sums: list[np.ndarray], n: float, v: float) -> None:
-        counts = np.empty(len(self.vocab))
-        counts[self.order] = sums[0]
-        self.known = counts[self.tokens] > 0
-        self.words = (counts + ADDED) / (n + ADDED * (v + 1))
-        self.p = self.words[self.tokens]
-        # What a token ends: the n-gram of the current level (its number among the sorted keys) and its count.
-        place = np.empty(len(self.vocab), np.int32)
-        place[self.order] = np.arange(len(self.vocab), dtype=np.int32)
-        self.grams, self.gram = self.vocab[self.order], place[self.tokens]
-        self.gram_count = counts[self.tokens]
-
-    def ask_grams(self, values: bool = True):
-        """The n-grams (context, token) with a frequent context, and their counts in training texts."""
-        k = self.level + 1
-        at = np.flatnonzero(self.place >= k).astype(np.int32)
-        self.at = at[self.gram_count[at - 1] >= MIN_CONTEXT]  # a token's context is the n-gram that ended one token earlier
-        context, self.occurrences = self.gram[self.at - 1], self.gram_count[self.at - 1]
-        used = np.zeros(len(self.grams), dtype=bool)
-        used[context] = True
-        self.contexts, self.context_of = self.grams[used], (np.cumsum(used, dtype=np.int32) - 1)[context]
-        # A longer n-gram is no more frequent than its suffix, so the others can't be explicit.
-        self.some = np.flatnonzero(self.gram_count[self.at] >= MIN_NEXT).astype(np.int32)
-        place = self.at[self.some]
-        grams = mix(self.grams[context[self.some]] * U64(0x9FB21C651E98DF25) + self.vocab[self.tokens[place]] + U64(k))
-        self.keys, self.one, self.inverse = _distinct(grams)
-        return (self.keys, [np.bincount(self.inverse, weights=self.train[place], minlength=len(self.keys))]) if values else None
-
-    def ask_contexts(self, sums: list[np.ndarray], owned: np.ndarray, values: bool = True):
-        """Each context's explicit mass and divergence, over the n-grams that this block owns."""
-        self.counts = np.zeros(len(self.at))
-        self.counts[self.some] = sums[0][self.inverse]
-        if not values:
-            return None
-        at = self.some[self.one[owned & (sums[0] >= MIN_NEXT)]]
-        of, share = self.context_of[at], self.counts[at] / self.occurrences[at]
-        mass = np.bincount(of, weights=share - DISCOUNT / self.occurrences[at], minlength=len(self.contexts))
-        gain = np.bincount(of, weights=share * np.log(share / self.p[self.at[at]]), minlength=len(self.contexts))
-        return self.contexts, [mass, gain]
-
-    def tell_contexts(self, left: np.ndarray) -> None:
-        """left: by context the mass that a state leaves to its next shorter state; 1 where it is none."""
-        left = left[self.context_of]
-        explicit = np.where((self.counts >= MIN_NEXT) & (left < 1), (self.counts - DISCOUNT) / self.occurrences, 0.0)
-        self.p[self.at] = explicit + left * self.p[self.at]
-        gram, count = np.zeros(len(self.tokens), np.int32), np.zeros(len(self.tokens))
-        gram[self.at[self.some]], count[self.at] = self.inverse, self.counts
-        self.grams, self.gram, self.gram_count = self.keys, gram, count
-        self.level += 1
-
-    def scores(self):
-        n_known = segment_sum(self.known, self.offs)
-        return self.sizes, n_known, segment_sum(np.log10(self.words)[self.tokens], self.offs), segment_sum(np.log10(self.p), self.offs)
-
-
-def left_over(mass: np.ndarray, gain: np.ndarray) -> np.ndarray:
-    """The mass that each context leaves to its next shorter state: all, if its divergence makes it no state."""
-    return np.where(gain >= DIVERGENCE, np.maximum(1 - mass, 0.0), 1.0)
+        #: By level: what a token ends, as its number among the n-grams that can still matter (else -1); their counts; which of them this block answers for.
+        self.grams: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.owned: list[np.ndarray] = []
+        #: By level: what each n-gram as a context gives to its successors.
+        self.mass: list[np.ndarray] = []
+
+    def ask_words(self):
+        counts, order = np.bincount(self.tokens[np.repeat(~self.held, self.sizes)], minlength=len(self.vocab)), np.argsort(self.vocab)
+        return self.vocab[order], [counts[order].astype(np.float64)]
+
+    def tell_words(self, sums: list[np.ndarray]) -> None:
+        self.words = np.empty(len(self.vocab))
+        self.words[np.argsort(self.vocab)] = sums[0]
+        self._add(self.words, np.zeros(len(self.vocab), dtype=bool), self.tokens)
+
+    def _add(self, counts: np.ndarray, owned: np.ndarray, inverse: np.ndarray, at: np.ndarray | None = None) -> None:
+        """A new level: the counts of n-grams, and which of them each token (at: of those alone) ends."""
+        kept = counts >= min(MIN_CONTEXT, MIN_NEXT)
+        grams = np.where(kept, np.cumsum(kept, dtype=np.int32) - np.int32(1), np.int32(-1))[inverse]
+        if at is not None:
+            some, grams = grams, np.full(len(self.tokens), -1, np.int32)
+            grams[at] = some
+        self.level(grams, counts[kept], owned[kept])
+
+    def level(self, grams: np.ndarray, counts: np.ndarray, owned: np.ndarray) -> None:
+        self.grams.append(grams)
+        self.counts.append(np.append(counts, 0.0))  # the last is that of number -1
+        self.owned.append(owned)
+
+    def _follow(self, k: int) -> np.ndarray:
+        """The tokens that level k can change: those whose context, the n-gram that ended one token earlier in the text, is frequent."""
+        follows = np.ones(len(self.tokens) + 1, dtype=bool)
+        follows[np.cumsum(self.sizes)] = False
+        return np.flatnonzero((self.counts[k] >= MIN_CONTEXT)[self.grams[k][:-1]] & follows[1:-1]).astype(np.int32) + np.int32(1)
+
+    def _contexts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The contexts of level k that occur here, as numbers of n-grams in the order of their keys, and a place of each."""
+        at = self._follow(k) - np.int32(1)
+        place = np.full(len(self.counts[k]) - 1, -1, np.int32)
+        place[self.grams[k][at]] = at
+        used = np.flatnonzero(place >= 0)
+        if k == 0:  # words are numbered by frequency, longer n-grams by their keys
+            used = used[np.argsort(self._keys(place[used], 0))]
+        return used, place[used]
+
+    def _explicit(self, k: int) -> np.ndarray:
+        """The tokens of level k that can be explicit: a longer n-gram is no more frequent than its suffix."""
+        at = self._follow(k)
+        return at[(self.counts[k] >= MIN_NEXT)[self.grams[k][at]]]
+
+    def _keys(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Keys of the n-grams of k + 1 words that end at these tokens."""
+        keys = self.vocab[self.tokens[at - np.int32(k)]]
+        for j in range(1, k + 1):
+            keys = mix(keys * U64(0x9FB21C651E98DF25) + self.vocab[self.tokens[at - np.int32(k - j)]] + U64(j))
+        return keys
+
+    def ask_grams(self):
+        """The next level's n-grams (context, token) with a frequent context, and their counts in training texts."""
+        k = len(self.grams) - 1
+        at = self._explicit(k)
+        keys, _, inverse = _distinct(self._keys(at, k + 1))
+        return keys, [np.bincount(inverse, weights=np.repeat(~self.held, self.sizes)[at], minlength=len(keys))]
+
+    def tell_grams(self, sums: list[np.ndarray], owned: np.ndarray) -> None:
+        k = len(self.grams) - 1
+        at = self._explicit(k)
+        self._add(sums[0], owned, _distinct(self._keys(at, k + 1))[2], at)
+
+    def ask_contexts(self, totals):
+        """Each context's explicit mass (occurrences, in units of DISCOUNT) and divergence, over the n-grams that this block answers for."""
+        k = len(self.mass)
+        numbers, place = self._contexts(k)
+        keys = self._keys(place, k)
+        rank = np.empty(len(self.counts[k]), np.int32)
+        rank[numbers] = np.arange(len(numbers), dtype=np.int32)
+        ends = np.flatnonzero(self.grams[k + 1] >= 0).astype(np.int32)
+        at = np.empty(len(self.owned[k + 1]), np.int32)
+        at[self.grams[k + 1][ends]] = ends  # a place of each n-gram
+        mine = np.flatnonzero(self.owned[k + 1] & (self.counts[k + 1][:-1] >= MIN_NEXT))
+        at, told = at[mine], self.counts[k + 1][mine]
+        context = self.grams[k][at - 1]
+        of, share = rank[context], told / self.counts[k][context]
+        mass = np.bincount(of, weights=told / DISCOUNT - 1, minlength=len(keys))
+        gain = np.bincount(of, weights=share * np.log(share / self._lower(at, totals)), minlength=len(keys))
+        return keys, [mass, gain]
+
+    def tell_contexts(self, sums: list[np.ndarray]) -> None:
+        """sums[0]: what a state gives to its successors, by context; 0 where it is none."""
+        k = len(self.mass)
+        mass = np.zeros(len(self.counts[k]) - 1)
+        mass[self._contexts(k)[0]] = sums[0]
+        self.mass.append(mass)
+
+    def ask(self, totals) -> list:
+        """The next questions: on n-grams or words, and on contexts (None: no such question)."""
+        if not self.grams:
+            return [self.ask_words(), None]
+        return [self.ask_grams() if len(self.grams) <= DEPTH else None, self.ask_contexts(totals) if len(self.grams) > 1 else None]
+
+    def _root(self, totals) -> np.ndarray:
+        n, v = totals
+        return (self.words + ADDED) / (n + ADDED * (v + 1))
+
+    def _step(self, k: int, at: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Probabilities by contexts of up to k + 1 words, from those by contexts of up to k."""
+        context, ends = self.grams[k][at - 1], self.grams[k + 1][at]
+        mass, occurrences = self.mass[k], self.counts[k][:-1]
+        p = np.maximum(1 - DISCOUNT * mass / occurrences, 0.0)[context] * p
+        some = np.flatnonzero((ends >= 0) & (mass > 0)[context])
+        counts, context = self.counts[k + 1][ends[some]], context[some]
+        p[some] += np.where(counts >= MIN_NEXT, (counts - DISCOUNT) / occurrences[context], 0.0)
+        return p
+
+    def _lower(self, at: np.ndarray, totals) -> np.ndarray:
+        """Probabilities of tokens by the levels whose masses are known."""
+        p = self._root(totals)[self.tokens[at]]
+        for k in range(len(self.mass)):
+            p = self._step(k, at, p)
+        return p
+
+    def scores(self, totals):
+        offs, root = np.concatenate([[0], np.cumsum(self.sizes)]), self._root(totals)
+        p = root[self.tokens]
+        for k in range(DEPTH):
+            at = self._follow(k)
+            p[at] = self._step(k, at, p[at])
+        return self.sizes, segment_sum((self.words > 0)[self.tokens], offs), segment_sum(np.log10(root)[self.tokens], offs), segment_sum(np.log10(p), offs)
+
+
+def given(mass: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """What each context gives to its successors: nothing, if its divergence makes it no state."""
+    return np.where(gain >= DIVERGENCE, mass, 0.0)
 
 
 def _edges(ranges: int) -> np.ndarray:
@@ -215,23 +290,30 @@ def _load(row: dict) -> Block:
     return Block(_unpack(row["sizes"], "i8"), np.array(row["held"], bool), np.frombuffer(row["vocab"], U64), _unpack(row["tokens"], "i4"))
 
 
-def _replay(row: dict, totals) -> tuple[Block, object]:
-    """The block after all answers so far (columns a0, a1, ...), and its next question (None: it is done)."""
+def _parts(answers: list[dict], ranges: int, contexts: bool) -> tuple[list[np.ndarray], np.ndarray] | None:
+    """The sums that a block asked for and what it owns, in the order of its keys. None: it asked nothing of the kind."""
+    parts = sorted((a for a in answers if (a["range"] >= ranges) == contexts), key=lambda a: a["range"])
+    if not parts:
+        return None
+    sums = [np.concatenate([_unpack(a["sums"][i], "f8").astype(np.float64) for a in parts]) for i in range(len(parts[0]["sums"]))]
+    return sums, np.concatenate([_unpack(a["owned"], "b1") for a in parts])
+
+
+def _resumed(row: dict, ranges: int) -> Block:
+    """The block after all answers so far: a0 on words, first (what the answers on the first n-grams make, or a1 they themselves), a2 and so on."""
     block = _load(row)
-    rounds = sum(f"a{r}" in row for r in range(2 * DEPTH + 1))
-    question = block.ask_words(rounds == 0)
-    for r in range(rounds):
-        parts, last = sorted(row[f"a{r}"], key=lambda a: a["range"]), r + 1 == rounds
-        sums = [np.concatenate([_unpack(a["sums"][i], "f8").astype(np.float64) for a in parts]) for i in range(len(parts[0]["sums"]))]
-        if r == 0:
-            block.tell_words(sums, *totals)
-            question = block.ask_grams(last)
-        elif r % 2:
-            question = block.ask_contexts(sums, np.concatenate([_unpack(a["owned"], "b1") for a in parts]), last)
-        else:
-            block.tell_contexts(sums[0])
-            question = block.ask_grams(last) if block.level < DEPTH else None
-    return block, question
+    if "a0" in row:
+        block.tell_words(_parts(row["a0"], ranges, False)[0])
+    if "first" in row:
+        grams, counts, owned = row["first"]
+        block.level(_unpack(grams, "i4"), _unpack(counts, "f8").astype(np.float64), _unpack(owned, "b1"))
+    for r in range(1, DEPTH + 2):
+        if f"a{r}" in row:
+            if grams := _parts(row[f"a{r}"], ranges, False):
+                block.tell_grams(*grams)
+            if contexts := _parts(row[f"a{r}"], ranges, True):
+                block.tell_contexts(contexts[0])
+    return block
 
 
 _ASKED = "range int, block long, keys binary, sums array<binary>"
@@ -239,22 +321,25 @@ _ANSWERED = "block long, range int, sums array<binary>, owned binary, n double,
 
 
 def _asked(packed: DataFrame, totals, ranges: int) -> DataFrame:
-    """(range, block, keys, values) of the blocks' next questions. An empty question still asks range 0, once."""
+    """(range, block, keys, values) of the blocks' next questions; those on contexts have ranges of their own. An empty question still asks its first range, once."""
     edges = _edges(ranges)
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                keys, values = _replay(row, totals)[1]
-                cuts = [0, *np.searchsorted(keys, edges, side="left"), len(keys)]
-                own = [r for r in range(ranges) if cuts[r + 1] > cuts[r]] or [0]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(own, pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pa.array([_pack_keys(keys[cuts[r] : cuts[r + 1]]) for r in own], pa.binary()),
-                        pa.array([[_pack(_small(v[cuts[r] : cuts[r + 1]])) for v in values] for r in own], pa.list_(pa.binary())),
-                    ],
-                    names=["range", "block", "keys", "sums"],
-                )
+                for i, question in enumerate(_resumed(row, ranges).ask(totals)):
+                    if question is None:
+                        continue
+                    keys, values = question
+                    cuts = [0, *np.searchsorted(keys, edges, side="left"), len(keys)]
+                    own = [r for r in range(ranges) if cuts[r + 1] > cuts[r]] or [0]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([i * ranges + r for r in own], pa.int32()), pa.array([row["block"]] * len(own), pa.int64()), pa.array([_pack_keys(keys[cuts[r] : cuts[r + 1]]) for r in own], pa.binary()),
+                            pa.array([[_pack(_small(v[cuts[r] : cuts[r + 1]])) for v in values] for r in own], pa.list_(pa.binary())),
+                        ],
+                        names=["range", "block", "keys", "sums"],
+                    )
 
     return packed.mapInArrow(run, _ASKED)
 
@@ -265,7 +350,7 @@ def _small(v: np.ndarray) -> np.ndarray:
     return whole if len(v) and (whole == v).all() else v
 
 
-def _summed(asked: DataFrame, r: int) -> DataFrame:
+def _summed(asked: DataFrame, r: int, ranges: int) -> DataFrame:
     """Each range's sums by key, sent back to the blocks that asked; owned: whether this block answers for the n-gram."""
 
     def add(table: pa.Table) -> pa.Table:
@@ -276,11 +361,12 @@ def _summed(asked: DataFrame, r: int) -> DataFrame:
         every = np.concatenate(keys)
         _, one, inverse = _distinct(every)
         sums = [np.bincount(inverse, weights=np.concatenate([v[k] for v in values]), minlength=len(one)) for k in range(len(values[0]))]
-        owned = np.zeros(len(every) if r % 2 else 0, dtype=bool)
-        if r % 2:  # n-grams: one block, whichever, answers for each in its context's sums
+        contexts = table.column("range")[0].as_py() >= ranges
+        owned = np.zeros(len(every) if r and not contexts else 0, dtype=bool)
+        if contexts:  # only the masses of states go back
+            sums = [given(*sums)]
+        elif r:  # n-grams: one block, whichever, answers for each in its context's sums
             owned[one] = True
-        elif r:  # contexts: only what a state leaves over goes back
-            sums = [left_over(*sums)]
         cuts = np.cumsum([0, *map(len, keys)])
         out = {"block": [], "sums": [], "owned": []}
         for i, name in enumerate(names):
@@ -301,44 +387,66 @@ def _summed(asked: DataFrame, r: int) -> DataFrame:
     return asked.groupBy("range").applyInArrow(add, _ANSWERED)
 
 
-def _by_block(rows: DataFrame, buckets: int) -> DataFrame:
-    """The rows as a table in the shared folder that is bucketed by block: joins of such tables move nothing."""
-    spark, name = rows.sparkSession, f"matchloom_{uuid.uuid4().hex}"
-    with written_once(spark):
-        rows.write.option("path", scratch(spark)).bucketBy(buckets, "block").saveAsTable(name)
-    return spark.table(name)
+def _first(answered: DataFrame, ranges: int) -> DataFrame:
+    """The level of the first n-grams as the blocks keep it, from the answers (column a1): it is the largest, and isn't sorted again."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = _resumed(row, ranges)
+                level = [_pack(block.grams[1]), _pack(_small(block.counts[1][:-1])), _pack(block.owned[1])]
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([level], pa.list_(pa.binary()))], names=["block", "first"])
+
+    return answered.mapInArrow(run, "block long, first array<binary>")
+
+
+def _by_block(rows: DataFrame, buckets: int, path: str) -> DataFrame:
+    """The rows as a table at a path of the shared folder that is bucketed by block: joins of such tables move nothing. (What is large in them is packed already.)"""
+    name = f"matchloom_{uuid.uuid4().hex}"
+    with written_once(rows.sparkSession):
+        rows.write.option("path", path).option("compression", "none").bucketBy(buckets, "block").saveAsTable(name)
+    return rows.sparkSession.table(name)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, range_tokens: int = RANGE_TOKENS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     first = scratch(spark)
-    blocks(docs, id_col, text_col, block_tokens).write.parquet(first)
+    blocks(docs, id_col, text_col, block_tokens).write.option("compression", "none").parquet(first)
     packed = spark.read.schema(_BLOCKS).parquet(first)
     size = packed.agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("blocks")).first()
     ranges, buckets = max(LEAST_RANGES, math.ceil((size["tokens"] or 0) / range_tokens)), max(1, min(size["blocks"], MOST_BUCKETS))
+
+    def answered(rows: DataFrame, r: int) -> DataFrame:
+        """By block, the answers to the next questions of these blocks."""
+        answers = _summed(_asked(rows, totals, ranges), r, ranges).repartition(buckets, "block")
+        return answers.groupBy("block").agg(F.collect_list(F.struct("range", "sums", "owned")).alias(f"a{r}"), *([] if r else [F.sum("n").alias("n"), F.sum("v").alias("v")]))
+
     # Rows are blocks of some MB here: an Arrow batch takes ROWS of them, however many a task has.
     with settings(spark, spark_sql_execution_arrow_maxRecordsPerBatch=str(ROWS)):
-        known, totals = _by_block(packed.repartition(buckets, "block"), buckets), (0.0, 0.0)
+        paths, totals = [scratch(spark) for _ in range(DEPTH + 2)], (0.0, 0.0)
+        known = _by_block(packed.repartition(buckets, "block"), buckets, paths[0])
         removed(spark, first)
-        for r in range(2 * DEPTH + 1):
-            answers = _summed(_asked(known, totals, ranges), r).repartition(buckets, "block")
-            listed = F.collect_list(F.struct("range", "sums", "owned")).alias(f"a{r}")
-            new = _by_block(answers.groupBy("block").agg(listed, F.sum("n").alias("n"), F.sum("v").alias("v")), buckets)
+        for r in range(DEPTH + 1):
+            new = answered(known, r)
+            new = _by_block(_first(known.join(new.hint("merge"), "block"), ranges) if r == 1 else new, buckets, paths[r + 1])
             if r == 0:
                 totals = tuple(x or 0.0 for x in new.agg(F.sum("n"), F.sum("v")).first())
-            known = known.join(new.drop("n", "v").hint("merge"), "block")
+                new = new.drop("n", "v")
+            known = known.join(new.hint("merge"), "block")
+        told = known.join(answered(known, DEPTH + 1).hint("merge"), "block")
         n_train = int(totals[0])
 
         def run(batches):
             for batch in batches:
                 for row in batch.to_pylist():
-                    block, _ = _replay(row, totals)
-                    sizes, n_known, base, total = block.scores()
+                    sizes, n_known, base, total = _resumed(row, ranges).scores(totals)
                     arrays = [pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()), pa.array([n_train] * len(sizes), pa.int64()), pa.array(base), pa.array(total)]
                     yield pa.RecordBatch.from_arrays(arrays, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-        out = stored(known.mapInArrow(run, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+        out = stored(told.mapInArrow(run, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+        for path in paths:
+            removed(spark, path)
     return out.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
 
 

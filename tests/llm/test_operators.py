@@ -236,6 +236,37 @@ def test_op3_rare_sharp_contexts(spark):
     assert {r["held_out"] for i, r in got.items() if i % 4 == 1} == {False, True}
 
 
+def test_op3_rounds(spark, monkeypatch):
+    asked, ask = [], suffix_tree_lm._asked
+    monkeypatch.setattr(suffix_tree_lm, "_asked", lambda *a: asked.append(1) or ask(*a))
+    assert suffix_tree_lm.score(table(spark, ODD + [prose(50) for _ in range(20)]), block_tokens=200).count() == len(ODD) + 20
+    assert len(asked) == suffix_tree_lm.DEPTH + 2  # contexts go with the next level's n-grams
+
+
+def test_op3_first_level_is_not_sorted_again(monkeypatch):
+    texts = [np.array([3, 1, 2, 3, 1, 2, 3, 1, 2, 0], np.int32)] * 3
+    sizes, vocab = np.array([len(t) for t in texts]), suffix_tree_lm.mix(np.arange(4, dtype=np.uint64) + np.uint64(7))
+    block = suffix_tree_lm.Block(sizes, np.array([False, False, True]), vocab, np.concatenate(texts))
+    block.tell_words(block.ask_words()[1])
+    keys, counts = block.ask_grams()
+    row = {"sizes": suffix_tree_lm._pack(sizes), "held": [False, False, True], "vocab": vocab.tobytes(), "tokens": suffix_tree_lm._pack(block.tokens)}
+    row["a0"] = [{"range": 0, "sums": [suffix_tree_lm._pack(x) for x in block.ask_words()[1]], "owned": b""}]
+    block.tell_grams(counts, np.ones(len(keys), dtype=bool))
+    kept = [block.grams[1], block.counts[1][:-1], block.owned[1]]
+    monkeypatch.setattr(suffix_tree_lm, "_distinct", None)
+    again = suffix_tree_lm._resumed(row | {"first": [suffix_tree_lm._pack(x) for x in kept]}, 1)
+    asked, same = block.ask_contexts((20.0, 4.0)), again.ask_contexts((20.0, 4.0))
+    assert (asked[0] == same[0]).all() and all((x == y).all() for x, y in zip(asked[1], same[1])) and max(asked[1][0]) > 0
+
+
+def test_op3_packing():
+    for a in (np.zeros(0), np.array([0.5, -1e300]), np.array([-1, 1 << 30], np.int32), np.array([True, False]), np.arange(1000, dtype=np.uint64) << np.uint64(40)):
+        b = suffix_tree_lm._unpack(suffix_tree_lm._pack(a), a.dtype.str[1:])
+        assert b.dtype == a.dtype and (a == b).all()
+    gaps = np.diff(np.sort(np.random.default_rng(1).integers(0, 1 << 62, 3000)))
+    assert len(suffix_tree_lm._pack(gaps)) < 0.95 * len(pa.compress(gaps.tobytes(), codec="zstd", asbytes=True))
+
+
 def test_op4(spark):
     pages = [(i, f"http://h/{i}", "body é " * (i % 7 if i != 333 else 40_000)) for i in range(1200)] + [(3, "http://h/3", "again"), (None, None, None), (None, None, None), (None, "u", "x"), (5000, "u", None)] + [(9, "http://h/9", "body é " * 2)] * 3
     a = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("sha", F.lit("mine"))
